@@ -15,11 +15,16 @@ def _add(a: Column, b: Column) -> Column:
     return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
 
 
+def _add_decimals(a: Column, b: Column) -> Column:
+    # At full precision an addition would give up a decimal place to make room.
+    return _add(*[x.cast("decimal(36,15)") for x in (a, b)])
+
+
 # Per kind of total: the aggregate over rows, over per-day results, and the merge of two.
 _KINDS = {
     "min": (F.min, F.min, F.least),
     "max": (F.max, F.max, F.greatest),
-    "sum": (F.sum, F.sum, _add),
+    "sum": (F.sum, F.sum, _add_decimals),
     "count": (F.count, F.sum, _add),
 }
 
