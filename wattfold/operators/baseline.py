@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattfold import schemas
 from wattfold.functions import numeric, slices as S
 from wattfold.operators.running import running_totals
 
-_LOADED = F.nullif(F.col("avg"), F.lit(0.0))
-_PARTIALS = {
-    "min": ("min", _LOADED),
-    "max": ("max", _LOADED),
-    "total": ("sum", numeric.exact(_LOADED)),
-    "count": ("count", _LOADED),
-}
+
+def _loaded() -> Column:
+    return F.nullif(F.col("avg"), F.lit(0.0))
+
+
+def _partials() -> dict[str, tuple[str, Column]]:
+    return {
+        "min": ("min", _loaded()),
+        "max": ("max", _loaded()),
+        "total": ("sum", numeric.exact(_loaded())),
+        "count": ("count", _loaded()),
+    }
 
 
 def _seeded(col, seed_zero: bool, pick):
@@ -30,10 +35,10 @@ def baselines(slices: DataFrame, level: str, seed_zero: bool = False) -> DataFra
     """One row per entity and gap: min, avg, max and count over all its slices with load."""
     keys = schemas.series_keys(level)
     totals = slices.groupBy(*keys).agg(
-        F.min(_LOADED).alias("min"),
-        F.max(_LOADED).alias("max"),
-        F.sum(numeric.exact(_LOADED)).alias("total"),
-        F.count(_LOADED).alias("count"),
+        F.min(_loaded()).alias("min"),
+        F.max(_loaded()).alias("max"),
+        F.sum(numeric.exact(_loaded())).alias("total"),
+        F.count(_loaded()).alias("count"),
     )
     return totals.select(
         *keys,
@@ -82,7 +87,7 @@ def running_baseline(
             {"min": F.when(loaded, F.col("min")), "max": F.when(loaded, F.col("max"))}
         )
     series = slices.select(*schemas.slice_keys(level), "slice_date", "avg")
-    out = running_totals(series, keys, "slice_start", _PARTIALS, start=start)
+    out = running_totals(series, keys, "slice_start", _partials(), start=start)
     return S.with_slice_parts(out).withColumns(
         {
             "prior_min": F.coalesce(_seeded(F.col("min"), seed_zero, F.least), F.lit(0.0)),

@@ -13,13 +13,13 @@ def meta_gaps(house: DataFrame) -> DataFrame:
     return house.select("slice_gap").distinct().orderBy("slice_gap")
 
 
-def _date_parts():
+def _date_parts(text: str):
     d = F.col("slice_date")
     return [
         S.year_text(d).alias("year"),
         S.month_text(d).alias("month"),
         S.day_text(d).alias("day"),
-        S.date_label(d).alias("date_text"),
+        S.date_label(d).alias(text),
     ]
 
 
@@ -29,7 +29,7 @@ def _entity_dates(slices: DataFrame, level: str) -> DataFrame:
 
 def meta_dates(slices: DataFrame, level: str) -> DataFrame:
     """The dates each entity has slices on, in date order."""
-    dates = _entity_dates(slices, level).select(*schemas.ids(level), *_date_parts())
+    dates = _entity_dates(slices, level).select(*schemas.ids(level), *_date_parts("date_text"))
     return dates.orderBy("date_text", *schemas.ids(level))
 
 
@@ -61,7 +61,7 @@ def meta_tree(device: DataFrame) -> DataFrame:
         ).alias("n"),
     )
     listed = nodes.groupBy("n.level", "n.node", "n.parent").agg(
-        F.sort_array(F.collect_set(F.struct(*_date_parts()))).alias("dates")
+        F.sort_array(F.collect_set(F.struct(*_date_parts("text")))).alias("dates")
     )
     return listed.select("level", "node", "parent", "dates")
 
@@ -72,7 +72,7 @@ def nest_household(device: DataFrame, house_id: int, household_id: int) -> DataF
     dates = (
         _entity_dates(own, DEVICE)
         .groupBy(*schemas.ids(DEVICE))
-        .agg(F.sort_array(F.collect_list(F.struct(*_date_parts()))).alias("dates"))
+        .agg(F.sort_array(F.collect_list(F.struct(*_date_parts("text")))).alias("dates"))
     )
     return dates.groupBy("house_id", "household_id").agg(
         F.map_from_entries(F.collect_list(F.struct("device_id", "dates"))).alias("devices")
