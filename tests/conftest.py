@@ -26,7 +26,7 @@ def spark():
 def small_readings(spark):
     from wattfold.sources.readings import read_events, readings_from_events
 
-    return readings_from_events(read_events(spark, SMALL)).cache()
+    return readings_from_events(read_events(spark, SMALL))
 
 
 @pytest.fixture
