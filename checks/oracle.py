@@ -23,8 +23,12 @@ readings AS (
   FROM events)"""
 
 
+def half_up(expr, places=6):
+    return f"floor(({expr}) * 1e{places} + 5.01e-1) / 1e{places}"
+
+
 def r(expr, name, places=6):
-    return f"round({expr} + 1e-{places + 3}, {places}) AS {name}"
+    return f"{half_up(expr, places)} AS {name}"
 
 
 def date(s):
@@ -191,8 +195,7 @@ def fixed(expr):
 CHANGE = f"""((CASE WHEN value - {BASE_VALUE} < 0 THEN '' ELSE '+' END) || {fixed(f'(value - {BASE_VALUE})')} || 'W ('
   || {fixed(f'(value - {BASE_VALUE}) * 100 / {BASE_VALUE}')} || '%)')"""
 
-ROUNDED_ALERT = "type, {ids}, slice_gap, s, round(value + 1e-9, 6) AS value, round(min + 1e-9, 6) AS min, " \
-    "round(avg + 1e-9, 6) AS avg, round(max + 1e-9, 6) AS max"
+ROUNDED_ALERT = "type, {ids}, slice_gap, s, " + ", ".join(r(c, c) for c in ("value", "min", "avg", "max"))
 
 
 def three_levels(select):
@@ -285,7 +288,7 @@ SELECT house_id, {PARTS}, request_start, weeks_back::INTEGER AS weeks_back, {r('
 def export_sql():
     labels = [f"{h:02d}:00->{h + 1:02d}:00" for h in range(24)]
     wide = ", ".join(
-        f"round(max(avg) FILTER ({index('s')} = {i}) + 1e-7, 4) AS \"{label}\"" for i, label in enumerate(labels)
+        r(f"max(avg) FILTER ({index('s')} = {i})", f'"{label}"', 4) for i, label in enumerate(labels)
     )
     return sql(
         f"""

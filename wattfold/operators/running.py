@@ -43,8 +43,9 @@ def running_totals(
     counts and sums) where nothing comes before. ``start`` may hold totals carried over
     from earlier rows, one row per ``keys``, under the same names.
     """
-    # Both branches below are to read one exchange, rows of a key and day together: so the
-    # null test the join would add to one of them comes first, and both use `order`.
+    # Both branches below are to read one exchange, rows of a key and day together. So the
+    # null test the join would add to one of them comes first, and the per-day branch
+    # counts over every column, lest column pruning make two different exchanges of it.
     known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in [*keys, chunk]])
     placed = rows.where(known).repartition(*[F.col(c) for c in [*keys, chunk]])
     placed = placed.withColumns({f"_in_{name}": expr for name, (_, expr) in totals.items()})
@@ -55,11 +56,11 @@ def running_totals(
     ).drop(*[f"_in_{n}" for n in totals])
 
     per_day = placed.groupBy(*keys, chunk).agg(
-        F.count(order).alias("_rows"),
+        F.call_function("count", *[F.col(c) for c in rows.columns]).alias("_rows"),
         *[_KINDS[kind][0](F.col(f"_in_{n}")).alias(n) for n, (kind, _) in totals.items()],
     )
     earlier = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    before = per_day.where(F.col("_rows") > 0).select(
+    before = per_day.where(F.col("_rows") >= 0).select(
         *keys,
         chunk,
         *[_KINDS[kind][1](F.col(n)).over(earlier).alias(f"_before_{n}") for n, (kind, _) in totals.items()],

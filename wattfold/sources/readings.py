@@ -18,13 +18,15 @@ _REQUIRED = [n for n in schemas.READING.names if n != "id"]
 
 
 def _decoded(lines: DataFrame, text: str) -> DataFrame:
-    parts = F.split(F.col(text), ",")
-    return lines.withColumns(
+    # Exploding the one split keeps the optimizer from splitting again for every field.
+    parts = F.col("_parts")
+    split = lines.withColumn("_parts", F.explode(F.array(F.split(F.col(text), ","))))
+    return split.withColumns(
         {
             f.name: F.get(parts, F.lit(_POSITIONS[f.name])).try_cast(f.dataType)
             for f in schemas.READING
         }
-    )
+    ).drop("_parts")
 
 
 def _complete():
