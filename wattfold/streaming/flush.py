@@ -10,6 +10,7 @@ ones, so a batch that runs twice leaves what it left the first time.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -46,6 +47,13 @@ def base_stream(readings: DataFrame, config: EngineConfig) -> DataFrame:
     )
 
 
+def _together(steps) -> list:
+    """Run independent steps at once, so that small jobs do not wait for one another."""
+    steps = list(steps)
+    with ThreadPoolExecutor(max_workers=max(len(steps), 1)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 class Flush:
     """One micro-batch of changed base slices applied to the stored tables."""
 
@@ -75,19 +83,21 @@ class Flush:
         store.upsert("device_base", changed)
         in_dates = F.col("slice_date").isin(dates)
 
-        device = self._device(changed, in_dates)
-        store.upsert("device_data", device)
-        touched = {DEVICE: self._touched(changed, DEVICE)}
-        for level in (HOUSEHOLD, HOUSE):
-            touched[level] = self._touched(changed, level)
-            store.upsert(f"{level}_data", self._sums(touched[level], level, in_dates))
+        store.upsert("device_data", self._device(changed, in_dates))
+        touched = {level: self._touched(changed, level) for level in LEVELS}
+        _together(
+            lambda level=level: store.upsert(f"{level}_data", self._sums(touched[level], level, in_dates))
+            for level in (HOUSEHOLD, HOUSE)
+        )
 
-        raised = {}
+        # The levels' alerts and forecasts write a table each and read none of the others'.
+        steps = []
         if self.with_alerts:
-            raised = {level: self._alert(level, touched[level]) for level in LEVELS}
+            steps += [lambda level=level: self._alert(level, touched[level]) for level in LEVELS]
         if self.with_forecasts:
-            for level in LEVELS:
-                self._forecast(level, touched[level], in_dates)
+            steps += [lambda level=level: self._forecast(level, touched[level], in_dates) for level in LEVELS]
+        done = _together(steps)
+        raised = dict(zip(LEVELS, done)) if self.with_alerts else {}
         if self.with_alerts:
             self._advance(changed)
         self._record(touched, raised, batch_id, time.monotonic() - started)
@@ -162,16 +172,18 @@ class Flush:
         last = changed.agg(F.max("slice_start").alias("t")).select(
             S.slice_date(F.timestamp_seconds(F.unix_seconds("t") - self.config.watermark_minutes * 60))
         ).first()[0]
-        for level in LEVELS:
-            through = self._horizon(level)
-            if through is not None and last <= through:
-                continue
-            closed = F.col("slice_date") < F.lit(last)
-            if through is not None:
-                closed = closed & (F.col("slice_date") >= F.lit(through))
-            fresh = baselines(self.store.read(f"{level}_data").where(closed), level)
-            merged = merge_baselines(self.store.read(f"{level}_prop"), fresh, level)
-            self.store.upsert(f"{level}_prop", merged.withColumn("through", F.lit(last)))
+        _together(lambda level=level: self._fold(level, last) for level in LEVELS)
+
+    def _fold(self, level: str, last) -> None:
+        through = self._horizon(level)
+        if through is not None and last <= through:
+            return
+        closed = F.col("slice_date") < F.lit(last)
+        if through is not None:
+            closed = closed & (F.col("slice_date") >= F.lit(through))
+        fresh = baselines(self.store.read(f"{level}_data").where(closed), level)
+        merged = merge_baselines(self.store.read(f"{level}_prop"), fresh, level)
+        self.store.upsert(f"{level}_prop", merged.withColumn("through", F.lit(last)))
 
     def _record(self, touched, raised, batch_id: int, seconds: float) -> None:
         counts = batch_metrics(touched, raised)
