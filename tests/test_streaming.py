@@ -6,6 +6,7 @@ from wattfold.operators import aggregate
 from wattfold.operators.alerts import alerts
 from wattfold.operators.baseline import baselines
 from wattfold.operators.forecast import forecast_v0
+from wattfold.operators.ingest import ingest_rate
 from wattfold.sinks.tables import TableStore
 from wattfold.sources.readings import decode_readings, encode_readings, stream_messages
 from wattfold.streaming.flush import Flush, progress_rows, run_flush
@@ -82,6 +83,45 @@ def test_a_repeated_batch_changes_nothing(spark, small_readings, tmp_path):
     assert all(before.values())
 
 
+def test_a_batch_that_dies_half_way_is_made_good(spark, small_readings, tmp_path, monkeypatch):
+    days = [1704067200 + d * 86400 for d in (0, 2, 3)]
+    parts = [small_readings.where(F.col("timestamp").between(a, b - 1)) for a, b in zip(days, days[1:])]
+    config = EngineConfig(gaps=(120,))
+    store = TableStore(spark, str(tmp_path / "tables"))
+    Flush(store, config)(aggregate.base_slices(parts[0], 120), 0)
+
+    def die(self, level, *_):
+        if level == "household":
+            raise RuntimeError("lost")
+        return forecast(self, level, *_)
+
+    forecast = Flush._forecast
+    with monkeypatch.context() as m:
+        m.setattr(Flush, "_forecast", die)
+        with pytest.raises(RuntimeError):
+            Flush(store, config)(aggregate.base_slices(parts[1], 120), 1)
+    Flush(store, config)(aggregate.base_slices(parts[1], 120), 1)
+    house = aggregate.level_slices(parts[0].unionByName(parts[1]), "house", (120,))
+    household = aggregate.level_slices(parts[0].unionByName(parts[1]), "household", (120,))
+    assert same(store.read("house_data"), house)
+    assert same(store.read("house_notification"), alerts(house, "house"))
+    said = forecast_v0(household, "household").drop("source_start", "median", "history")
+    assert same(store.read("household_data_forecast"), said)
+
+
+def test_ingest_rates_on_a_stream(spark, readings, tmp_path):
+    feed = str(tmp_path / "feed")
+    drop(readings(("2024-01-01T00:00:00", 1), ("2024-01-01T00:00:09", 1, 0, 0, 0, 0), ("2024-01-01T00:00:10", 1)), feed)
+    rows = messages_feed(spark, feed).withColumns({"topic": F.lit("t"), "ts": F.timestamp_seconds("timestamp")})
+    rates = ingest_rate(rows.withWatermark("ts", "1 minute"))
+    query = (
+        rates.writeStream.outputMode("complete").format("memory").queryName("rates").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    got = spark.table("rates").orderBy("interval_start").collect()
+    assert [(r.total, r.load, r.total_speed) for r in got] == [(2, 1, 0.2), (1, 1, 0.1)]
+
+
 def test_readings_behind_the_watermark_are_dropped_and_counted(spark, readings, tmp_path):
     feed, checkpoint = str(tmp_path / "feed"), str(tmp_path / "checkpoint")
     store = TableStore(spark, str(tmp_path / "tables"))

@@ -1,3 +1,5 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,12 +74,12 @@ def test_forecasts_are_kept_by_version(store, slices):
 
 def test_replace_can_empty_a_partition(store, slices):
     store.upsert("house_data", slices("house", 60, ("2024-01-01 00:00:00", 1), ("2024-01-02 00:00:00", 2), ("2024-01-02 00:00:00", 3, 1)))
-    since = F.col("slice_date") >= F.lit("2024-01-02").cast("date")
+    since = date(2024, 1, 2)
     owner = slices("house", 60, ("2024-01-02 00:00:00", 2)).select("house_id")
     nothing = slices("house", 60, ("2024-01-01 00:00:00", 1)).where("false")
-    store.replace("house_data", nothing, since, owners=owner)
+    store.replace("house_data", nothing, first=since, owners=owner)
     assert stored(store) == {("2024-01-01 00:00:00", 0): 1, ("2024-01-02 00:00:00", 1): 3}
-    store.replace("house_data", nothing, since)
+    store.replace("house_data", nothing, first=since)
     assert stored(store) == {("2024-01-01 00:00:00", 0): 1}
 
 
@@ -130,3 +132,29 @@ def test_messages_go_to_a_folder_per_topic(spark, tmp_path):
     rows = spark.createDataFrame([("a", "x"), ("b", "y")], "topic string, value string")
     write_messages(rows, str(tmp_path / "out"))
     assert {(r.topic, r.value) for r in spark.read.text(str(tmp_path / "out")).collect()} == {("a", "x"), ("b", "y")}
+
+
+def test_reading_a_range_of_dates(store, slices):
+    days = [(f"2024-01-{d:02d} 00:00:00", d) for d in (1, 2, 9)]
+    store.upsert("house_data", slices("house", 60, *days))
+
+    def found(**kw):
+        return sorted(r.avg for r in store.read("house_data", **kw).collect())
+
+    assert found(first=date(2024, 1, 2)) == [2, 9]
+    assert found(last=date(2024, 1, 2)) == [1, 2]
+    assert found(first=date(2024, 1, 2), last=date(2024, 1, 9)) == [2, 9]
+    assert found(first=date(2024, 1, 3), last=date(2024, 1, 4)) == []
+    assert store.newest_date("house_data") == date(2024, 1, 9)
+
+
+def test_reads_of_stored_tables_prune_partitions(store, slices):
+    from wattfold.plans.reads import query_slices
+
+    store.upsert("house_data", slices("house", 60, ("2024-01-01 00:00:00", 1), ("2024-02-01 00:00:00", 2)))
+    df = query_slices({"house": store.read("house_data")}, month=2, slice_gap=60, slice_index=0)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    partition = plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+    assert "slice_gap" in partition and "month" in partition
+    assert "EqualTo(slice_index,0)" in plan
+    assert df.count() == 1

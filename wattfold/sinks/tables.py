@@ -10,8 +10,9 @@ completed by the next upsert. Repeating an upsert leaves the same rows.
 from __future__ import annotations
 
 import uuid
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattfold import schemas
 from wattfold.config import LEVELS
@@ -22,6 +23,14 @@ _READY = "_READY"
 _SPOOL = "_spool"
 
 
+def _dated(part: str, first, last) -> bool:
+    """Whether a partition folder's slice date lies between two dates."""
+    if first is None and last is None:
+        return True
+    day = part.rsplit("slice_date=", 1)[1]
+    return (first is None or day >= str(first)) and (last is None or day <= str(last))
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = utc(spark)
@@ -54,15 +63,54 @@ class TableStore:
             return []
         return sorted(s.getPath().toString() for s in fs.listStatus(target) if s.isDirectory())
 
+    def _partitions(self, table, path: str, first=None, last=None) -> list[str]:
+        """The partition folders below a table's folder; one per gap and day at most.
+
+        Between two dates each day's folder is looked up, which beats listing a long history.
+        """
+        found = [""]
+        for column in table.partitions:
+            if column == "slice_date" and first is not None and last is not None:
+                days = [str(first + timedelta(days=n)) for n in range((last - first).days + 1)]
+                named = [f"{at}/{column}={day}".lstrip("/") for at in found for day in days]
+                found = [part for part in named if self._exists(f"{path}/{part}")]
+                continue
+            found = [
+                f"{at}/{child.rsplit('/', 1)[1]}".lstrip("/")
+                for at in found
+                for child in self._children(f"{path}/{at}".rstrip("/"))
+                if child.rsplit("/", 1)[1].startswith(f"{column}=")
+            ]
+        return [p for p in found if _dated(p, first, last)]
+
     # -- reading ---------------------------------------------------------------------
 
-    def read(self, name: str) -> DataFrame:
-        """The table as stored; a table nobody wrote yet is empty."""
+    def read(self, name: str, first=None, last=None) -> DataFrame:
+        """The table as stored; a table nobody wrote yet is empty.
+
+        With ``first`` or ``last``, only the folders of slice dates in that range are
+        looked into, so a flush does not pay for a long history.
+        """
         table = schemas.TABLES[name]
-        if not self._partitions(table, self.path(name)):
+        if first is not None or last is not None:
+            return self._folders(table, self._partitions(table, self.path(name), first, last))
+        if not self._children(self.path(name)):
             return self.spark.createDataFrame([], table.schema)
         return self.spark.read.schema(table.schema).parquet(self.path(name))
 
+    def newest_date(self, name: str):
+        """The last slice date a table holds, none if it is empty."""
+        parts = self._partitions(schemas.TABLES[name], self.path(name))
+        days = [part.rsplit("slice_date=", 1)[1] for part in parts]
+        return date.fromisoformat(max(days)) if days else None
+
+    def _folders(self, table, parts: list[str]) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], table.schema)
+        root = self.path(table.name)
+        reader = self.spark.read.schema(table.schema).option("basePath", root)
+        return reader.parquet(*[f"{root}/{part}" for part in parts])
+
     def register_views(self) -> None:
         """Make every table available to SQL under its own name."""
         for name in schemas.TABLES:
@@ -81,11 +129,18 @@ class TableStore:
         key = schemas.TABLES[name].key
         self._merge(name, rows, lambda old, new: old.join(new.select(*key), key, "left_anti"))
 
-    def replace(self, name: str, rows: DataFrame, doomed: Column, owners: DataFrame | None = None) -> None:
-        """Drop the stored rows matching ``doomed`` and insert ``rows``.
+    def replace(
+        self, name: str, rows: DataFrame, first=None, last=None, owners: DataFrame | None = None
+    ) -> None:
+        """Drop the stored rows of a range of slice dates and insert ``rows``.
 
         With ``owners``, only rows of those entities (its columns name the key) go.
         """
+        doomed = F.lit(True)
+        if first is not None:
+            doomed = doomed & (F.col("slice_date") >= F.lit(first))
+        if last is not None:
+            doomed = doomed & (F.col("slice_date") <= F.lit(last))
 
         def keep(old, new):
             rest = old.where(~doomed)
@@ -93,9 +148,11 @@ class TableStore:
                 return rest
             return rest.unionByName(old.where(doomed).join(owners, owners.columns, "left_anti"))
 
-        self._merge(name, rows, keep, doomed)
+        table = schemas.TABLES[name]
+        self._merge(name, rows, keep, self._partitions(table, self.path(name), first, last))
 
-    def _merge(self, name, rows, keep, doomed: Column | None = None) -> None:
+    def _merge(self, name, rows, keep, also=()) -> None:
+        """Rewrite the partitions ``rows`` fall into, and ``also`` those, as ``keep`` says."""
         table = schemas.TABLES[name]
         self.recover(name)
         # Writing the new rows down first cuts their lineage: they are computed once, and
@@ -103,16 +160,12 @@ class TableStore:
         incoming = self._stage(table)
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
         self._write(table, typed, incoming)
-        touched = set(self._partitions(table, incoming))
-        stored = set(self._partitions(table, self.path(name)))
-        if doomed is not None:
-            touched |= self._matching(table, stored, doomed)
-        overlap = sorted(touched & stored)
+        touched = sorted({*self._partitions(table, incoming), *also})
+        overlap = [part for part in touched if self._exists(f"{self.path(name)}/{part}")]
         if not overlap:
             return self._publish(table, incoming)
         new = self.spark.read.schema(table.schema).parquet(incoming)
-        held = [f"{self.path(name)}/{part}" for part in overlap]
-        old = self.spark.read.schema(table.schema).option("basePath", self.path(name)).parquet(*held)
+        old = self._folders(table, overlap)
         merged = self._stage(table)
         self._write(table, keep(old, new).select(*table.columns).unionByName(new), merged)
         for part in overlap:  # a partition may have lost its last row
@@ -123,28 +176,6 @@ class TableStore:
     def _stage(self, table) -> str:
         return f"{self.root}/{_STAGING}/{table.name}/{uuid.uuid4().hex}"
 
-    def _partitions(self, table, path: str) -> list[str]:
-        """The partition folders below a table's folder; one per gap and day at most."""
-        found = [""]
-        for column in table.partitions:
-            found = [
-                f"{at}/{child.rsplit('/', 1)[1]}".lstrip("/")
-                for at in found
-                for child in self._children(f"{path}/{at}".rstrip("/"))
-                if child.rsplit("/", 1)[1].startswith(f"{column}=")
-            ]
-        return found
-
-    def _matching(self, table, parts, doomed: Column) -> set[str]:
-        """Partitions a condition on partition columns holds for."""
-        if not parts:
-            return set()
-        split = [[p, *[kv.split("=", 1)[1] for kv in p.split("/")]] for p in sorted(parts)]
-        listed = self.spark.createDataFrame(split, ["_part", *table.partitions])
-        types = {f.name: f.dataType for f in table.schema}
-        typed = listed.withColumns({c: F.col(c).cast(types[c]) for c in table.partitions})
-        return {r[0] for r in typed.where(doomed).select("_part").collect()}
-
     def _write(self, table, rows: DataFrame, path: str) -> None:
         # Rebalancing splits a large partition over several files and joins small ones;
         # sorted files let a reader skip to the slices of one time of day.

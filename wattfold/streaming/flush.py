@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -70,6 +71,7 @@ class Flush:
         self.publish = publish  # called with the (topic, value) rows of the batch's alerts
         self.with_alerts = with_alerts
         self.with_forecasts = with_forecasts
+        self._newest = None  # last slice date stored, looked up once
 
     def __call__(self, changed: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
@@ -81,12 +83,12 @@ class Flush:
         if not dates:
             return
         store.upsert("device_base", changed)
-        in_dates = F.col("slice_date").isin(dates)
-
-        store.upsert("device_data", self._device(changed, in_dates))
+        known = self._newest or store.newest_date("device_base")
+        self._newest = max(known, dates[-1])
+        store.upsert("device_data", self._device(changed, dates))
         touched = {level: self._touched(changed, level) for level in LEVELS}
         _together(
-            lambda level=level: store.upsert(f"{level}_data", self._sums(touched[level], level, in_dates))
+            lambda level=level: store.upsert(f"{level}_data", self._sums(touched[level], level, dates))
             for level in (HOUSEHOLD, HOUSE)
         )
 
@@ -95,13 +97,16 @@ class Flush:
         if self.with_alerts:
             steps += [lambda level=level: self._alert(level, touched[level]) for level in LEVELS]
         if self.with_forecasts:
-            steps += [lambda level=level: self._forecast(level, touched[level], in_dates) for level in LEVELS]
+            steps += [lambda level=level: self._forecast(level, touched[level], dates) for level in LEVELS]
         done = _together(steps)
         raised = dict(zip(LEVELS, done)) if self.with_alerts else {}
         if self.with_alerts:
             self._advance(changed)
         self._record(touched, raised, batch_id, time.monotonic() - started)
 
+    def _on(self, dates, name: str) -> DataFrame:
+        return self.store.read(name, dates[0], dates[-1]).where(F.col("slice_date").isin(dates))
+
     # Slices of every gap that contain a changed base slice.
     def _touched(self, changed: DataFrame, level: str) -> DataFrame:
         gaps = F.array(*[F.lit(g) for g in self.config.gaps])
@@ -114,16 +119,16 @@ class Flush:
             .distinct()
         )
 
-    def _device(self, changed: DataFrame, in_dates) -> DataFrame:
+    def _device(self, changed: DataFrame, dates) -> DataFrame:
         block = S.slice_start(F.unix_seconds("slice_start"), F.lit(block_gap(self.config.gaps)))
         blocks = changed.select(*_DEVICE_IDS, block.alias("_block")).distinct()
-        stored = self.store.read("device_base").where(in_dates).withColumn("_block", block)
+        stored = self._on(dates, "device_base").withColumn("_block", block)
         mine = stored.join(blocks, [*_DEVICE_IDS, "_block"], "left_semi")
         whole = aggregate.rollup_base(mine.select(*_DEVICE_IDS, "slice_start", "units", "count"), self.config.gaps)
         return whole.join(self._touched(changed, DEVICE), schemas.slice_keys(DEVICE), "left_semi")
 
-    def _sums(self, touched: DataFrame, level: str, in_dates) -> DataFrame:
-        device = self.store.read("device_data").where(in_dates)
+    def _sums(self, touched: DataFrame, level: str, dates) -> DataFrame:
+        device = self._on(dates, "device_data")
         mine = device.join(touched, schemas.slice_keys(level), "left_semi")
         roll = aggregate.household_slices if level == HOUSEHOLD else aggregate.house_slices
         return roll(mine)
@@ -135,25 +140,23 @@ class Flush:
     def _alert(self, level: str, touched: DataFrame) -> DataFrame:
         """Redo the alerts of the touched series since the horizon, and store them."""
         through = self._horizon(level)
-        still_open = F.lit(True) if through is None else F.col("slice_date") >= F.lit(through)
         series = touched.select(*schemas.series_keys(level)).distinct()
-        rows = self.store.read(f"{level}_data").where(still_open)
+        rows = self.store.read(f"{level}_data", through, self._newest)
         mine = rows.join(series, schemas.series_keys(level), "left_semi")
         start = self.store.read(f"{level}_prop")
         found = alerts(mine, level, self.config.alerts[level], start=start)
-        self.store.replace(f"{level}_notification", found, still_open, owners=series)
-        mine_now = self.store.read(f"{level}_notification").where(still_open).join(
-            touched, schemas.slice_keys(level), "left_semi"
-        )
+        self.store.replace(f"{level}_notification", found, through, self._newest, owners=series)
+        current = self.store.read(f"{level}_notification", through, self._newest)
+        mine_now = current.join(touched, schemas.slice_keys(level), "left_semi")
         if self.publish and self.config.publish_alerts:
             self.publish(alert_topics(mine_now, level, self.config.topic_prefix))
         return mine_now
 
-    def _forecast(self, level: str, touched: DataFrame, in_dates) -> None:
+    def _forecast(self, level: str, touched: DataFrame, dates) -> None:
         """Forecast from the touched slices; only their target times of day are read."""
         keys = schemas.slice_keys(level)
         stored = self.store.read(f"{level}_data")
-        sources = stored.where(in_dates).join(touched, keys, "left_semi")
+        sources = self._on(dates, f"{level}_data").join(touched, keys, "left_semi")
         target = S.shift_slice(F.col("slice_start"), F.col("slice_gap"), AHEAD)
         wanted = touched.select(
             *schemas.series_keys(level), S.slice_index(target, F.col("slice_gap")).alias("slice_index")
@@ -178,10 +181,9 @@ class Flush:
         through = self._horizon(level)
         if through is not None and last <= through:
             return
-        closed = F.col("slice_date") < F.lit(last)
-        if through is not None:
-            closed = closed & (F.col("slice_date") >= F.lit(through))
-        fresh = baselines(self.store.read(f"{level}_data").where(closed), level)
+        # Up to the first fold there is no lower bound; from then on it is a day or so.
+        closed = self.store.read(f"{level}_data", through, last - timedelta(days=1))
+        fresh = baselines(closed, level)
         merged = merge_baselines(self.store.read(f"{level}_prop"), fresh, level)
         self.store.upsert(f"{level}_prop", merged.withColumn("through", F.lit(last)))
 
