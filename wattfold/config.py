@@ -73,6 +73,7 @@ class EngineConfig:
     @classmethod
     def from_mapping(cls, conf: Mapping[str, Any]) -> EngineConfig:
         """Build from the flat dotted keys of a configuration file; absent keys keep defaults."""
+        # The keys below are those of existing configuration files.
         base = cls()
         alerts = {}
         for level in LEVELS:

@@ -12,16 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 DAY_SECONDS = 86400
 
 
-def seconds_of(ts: Column) -> Column:
-    return F.unix_seconds(ts)
-
-
-def slice_start_seconds(seconds: Column, gap_minutes: Column) -> Column:
-    return seconds - F.pmod(seconds, (gap_minutes * 60).cast("bigint"))
-
-
 def slice_start(seconds: Column, gap_minutes: Column) -> Column:
-    return F.timestamp_seconds(slice_start_seconds(seconds, gap_minutes))
+    return F.timestamp_seconds(seconds - F.pmod(seconds, (gap_minutes * 60).cast("bigint")))
 
 
 def days_since_epoch(start: Column) -> Column:

@@ -203,7 +203,11 @@ def start_flush(
     once: bool = False,
     **options,
 ):
-    """Start the job; with ``once`` it takes what is there and stops."""
+    """Start the job; with ``once`` it takes what is there and stops.
+
+    ``config.clean_tables`` empties the tables first; give a new checkpoint with it.
+    """
+    store.init_tables(purge=config.clean_tables)
     # Ten hours of base slices for every device: more state than belongs on the heap.
     store.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     writer = (
