@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,19 +32,18 @@ def utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder that driver and executors share, removed when the application ends.
 
-    Only where the session names none (a local test run) is a temporary one made, once
-    per application.
+    It lies below ``spark.checkpoint.dir``; where the session names none, below the
+    warehouse, which is shared as well.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL_ROOTS:
-            _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="wattfold-")
-        root = _LOCAL_ROOTS[app]
-    return f"{root.rstrip('/')}/wattfold/{label}-{uuid.uuid4().hex}"
+    root = spark.conf.get("spark.checkpoint.dir", None) or (
+        f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    )
+    path = f"{root.rstrip('/')}/wattfold/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return path
