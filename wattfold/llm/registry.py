@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfold.llm import collision, maxscore, packing, sharding, token_counts
+from wattfold.llm import collision, host_paths, maxscore, packing, sharding, token_counts, toxicity
 from wattfold.llm.common import table
 from wattfold.session import scratch_dir
 
@@ -40,6 +40,17 @@ def op5_collision_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collision.nearest(rows, rows.where(F.col("vec_id") % 100 == 0), k=10)
 
 
+def op6_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep_text=False).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op7_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = maxscore.quantised(table(spark, sf_dir, "embeddings"))
     return maxscore.top_products(rows, rows.where(F.col("vec_id") % 50 == 0), k=5)
@@ -47,10 +58,10 @@ def op7_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS vec
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, v.vec_id,
          CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
@@ -65,6 +76,11 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
 
+def op8_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return host_paths.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op9_digest_cached_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, f"{scratch_dir(spark, 'token-cache')}/counts")
