@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfold.llm import collision, host_paths, maxscore, packing, sharding, token_counts, toxicity
+from wattfold.llm import collision, host_paths, jaccard, maxscore, packing, sharding, token_counts, toxicity
 from wattfold.llm.common import table
 from wattfold.session import scratch_dir
 
@@ -89,6 +89,11 @@ def op9_digest_cached_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_ngram_product_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.join_components(docs)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()

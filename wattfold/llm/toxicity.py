@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-TRAIN_DOCS = 4000  # labelled documents the model is fitted on, at most
+TRAIN_DOCS = 3000  # labelled documents the model is fitted on, at most
 EPOCHS = 6
 WINDOW, STRIDE = 64, 48  # words in a window, and from one window's start to the next
 BUCKETS, WIDTH, HIDDEN = 1 << 15, 6, 6
@@ -198,24 +198,13 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
         model.p["bias"][:] = 4.0 if len(texts) and labels.min() == 1 else -4.0
         model.p["out"][:] = 0
         return model
-    batch = Batch(texts)
-    doc = np.repeat(np.arange(len(texts)), batch.lengths)
-    whole, of, gram = batch.inputs
-    # The n-gram entries of each word lie together once sorted by word.
-    by_word = np.argsort(of, kind="stable")
-    spans = np.searchsorted(of[by_word], np.arange(len(whole) + 1))
-    pairs = np.unique(np.stack([doc, batch.codes]), axis=1)
-    runs = spans[pairs[1] + 1] - spans[pairs[1]]
-    flat = np.repeat(spans[pairs[1]] - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
-    for table, d, b in (
-        ("word", pairs[0], whole[pairs[1]]),
-        ("gram", np.repeat(pairs[0], runs), gram[by_word][flat]),
-    ):
-        d, b = np.divmod(np.unique(d * BUCKETS + b), BUCKETS)
-        toxic = np.bincount(b, weights=labels[d], minlength=BUCKETS)
-        clean = np.bincount(b, minlength=BUCKETS) - toxic
+    tally = {t: np.zeros((2, BUCKETS)) for t in ("word", "gram")}
+    for a in range(0, len(texts), 200):
+        _count_buckets(tally, Batch(texts[a : a + 200]), labels[a : a + 200].astype(int))
+    for table, (clean, toxic) in tally.items():
         odds = np.log((toxic + 0.5) / (labels.sum() + 1)) - np.log((clean + 0.5) / (len(labels) - labels.sum() + 1))
         model.p[table][:, 0] += 0.3 * np.clip(odds * ((toxic + clean) >= 4), -1, 5)
+    batch = Batch(texts)
     evidence = np.append(np.cumsum(model.embed(batch.inputs)[batch.codes, 0]), 0.0)
     score = evidence[batch.first + batch.size - 1] - evidence[batch.first - 1] if len(batch.codes) else np.zeros(len(batch.text))
     first, second = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
@@ -240,6 +229,21 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     return model
 
 
+def _count_buckets(tally: dict[str, np.ndarray], batch: Batch, labels: np.ndarray) -> None:
+    """Add the number of documents of either label that hold each bucket."""
+    whole, of, gram = batch.inputs
+    doc = np.repeat(np.arange(len(labels)), batch.lengths)
+    doc, word = np.divmod(np.unique(doc * len(whole) + batch.codes), max(1, len(whole)))
+    # The n-gram entries of each word lie together once sorted by word.
+    by_word = np.argsort(of, kind="stable")
+    spans = np.searchsorted(of[by_word], np.arange(len(whole) + 1))
+    runs = spans[word + 1] - spans[word]
+    flat = np.repeat(spans[word] - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum())
+    for table, d, b in (("word", doc, whole[word]), ("gram", np.repeat(doc, runs), gram[by_word][flat])):
+        d, b = np.divmod(np.unique(d * BUCKETS + b), BUCKETS)
+        np.add.at(tally[table], (labels[d], b), 1)
+
+
 def _only(batch: Batch, which: np.ndarray) -> Batch:
     """Some windows of a batch as a batch, with no more words than they hold."""
     ids, mask = batch.ids(which)
