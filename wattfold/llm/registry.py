@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfold.llm import collision, host_paths, jaccard, maxscore, packing, sharding, token_counts, toxicity
+from wattfold.llm import collision, host_paths, jaccard, lines, maxscore, packing, sharding, token_counts, toxicity
 from wattfold.llm.common import table
 from wattfold.session import scratch_dir
 
@@ -22,6 +22,11 @@ def op2_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup_lines(docs)
+
+
 def op4_best_fit_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sharding.shard(docs, SHARDS).select(
