@@ -13,6 +13,7 @@ from wattfold.llm.components import components
 SHINGLE = 5
 PERCENT = 80  # two sets link when 100 * intersection >= PERCENT * union
 COMMON = 32  # an n-gram in more windows than this is left to the second product
+LEADERS = 2  # rounds in which a column's rows are compared with one of them
 FILTER_WORDS = 1 << 17  # 64-bit words of the broadcast filter: 1 MB at most
 
 
@@ -160,50 +161,81 @@ def link_classes(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Da
     full = info.where("full").select("cid")
     if full.isEmpty():
         return info, links
-    known = common.select("gram").distinct().withColumn("common", F.lit(1))
+    return info, _second_product(docs, text_col, info, entries, common, first_pairs, whole, links)
+
+
+def _second_product(docs, text_col, info, entries, common, first_pairs, whole, links) -> DataFrame:
+    """``links`` and those that full rows take part in."""
+    full = info.where("full").select("cid")
+    # How common a column is, now counting full rows whole; ``frozen`` orders all rows alike.
     expanded = whole.join(full, "cid", "left_semi").select("cid", "n", F.explode("grams").alias("gram"))
-    ordered = expanded.join(known, "gram", "left").groupBy("cid", "n").agg(
-        F.sort_array(F.collect_list(F.struct(F.coalesce("common", F.lit(0)).alias("common"), "gram"))).alias("all")
+    frequency = (
+        expanded.groupBy("gram").agg(F.count("*").alias("f"))
+        .union(common.select("gram", F.col("rows").alias("f")).distinct())
+        .groupBy("gram").agg(F.sum("f").alias("f")).where(F.col("f") > COMMON)
+    )
+    frozen = stash(frequency, "common-columns")
+    others = entries.join(full, "cid", "left_anti").join(frozen, "gram", "left_anti").select("gram", "cid", "n")
+    enough = others.groupBy("cid").agg(F.count("*").alias("left"))
+    late = info.where("not full").join(enough, "cid", "left").where(
+        F.coalesce("left", F.lit(0)) < _prefix(F.col("n"))
     )
+    late = stash(late.select(*info.columns), "late-rows")
+    if not late.isEmpty():
+        fresh = late.join(whole, "cid", "left_anti")
+        whole = stash(whole.union(_sets_of(docs, fresh, text_col)), "whole-rows")
+    full = stash(full.union(late.select("cid")), "full-rows")
+    expanded = whole.join(full, "cid", "left_semi").select("cid", "n", F.explode("grams").alias("gram"))
+    place = F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "gram")))
+    ordered = expanded.join(frozen, "gram", "left").groupBy("cid", "n").agg(place.alias("all"))
     firsts = ordered.select(
         F.explode(F.slice("all", F.lit(1), _prefix(F.col("n")).cast("int"))).alias("x"), "cid", "n"
     ).select(F.col("x.gram").alias("gram"), "cid", "n", F.lit(True).alias("full"))
-    # Other rows take part with their uncommon window columns, looked up per column of the full ones.
-    others = entries.join(full, "cid", "left_anti").join(known, "gram", "left_anti")
-    others = others.join(firsts.select("gram").distinct(), "gram", "left_semi")
-    columns = stash(firsts.unionByName(others.withColumn("full", F.lit(False)).select("gram", "cid", "n", "full")), "full-columns")
+    # Other rows take part where their windows hold uncommon columns of full ones.
+    others = others.join(full, "cid", "left_anti").join(firsts.select("gram").distinct(), "gram", "left_semi")
+    columns = firsts.unionByName(others.withColumn("full", F.lit(False)))
+    columns = stash(columns.withColumn("met", F.expr("count(*) over (partition by gram)")).where("met > 1").drop("met"), "full-columns")
 
-    def tested(pairs: DataFrame, done: DataFrame) -> DataFrame:
+    def tested(pairs: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Similar ones of the pairs not yet tested, and all pairs tested by now."""
         fresh = pairs.where((F.col("a") != F.col("b")) & _sizes_fit()).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "n_a", "n_b"
         )
         fresh = stash(fresh.distinct().join(done, ["a", "b"], "left_anti"), "more-pairs")
         missing = fresh.select("a").union(fresh.select("b")).distinct()
-        missing = missing.join(whole, missing["a"] == whole["cid"], "left_anti")
-        more = info.join(missing, info["cid"] == missing["a"], "left_semi")
-        sets = whole if more.isEmpty() else whole.union(stash(_sets_of(docs, more, text_col), "whole-rows"))
-        return _verified(fresh, sets), fresh.select("a", "b")
-
-    leaders = columns.groupBy("gram").agg(F.min_by(F.struct("cid", "n"), F.struct(~F.col("full"), F.xxhash64("cid"))).alias("lead"))
-    star = columns.join(leaders, "gram").select(
-        F.col("cid").alias("a"), F.col("lead.cid").alias("b"), F.col("n").alias("n_a"), F.col("lead.n").alias("n_b")
-    )
-    found, done = tested(star, first_pairs.select("a", "b"))
-    links = stash(links.union(found), "links")
-    roots = components(links)
-    placed = columns.join(roots, columns["cid"] == roots["node"], "left").select(
-        "gram", "cid", "n", "full", F.coalesce("root", "cid").alias("root")
-    )
-    mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("gram")
-    placed = stash(placed.join(mixed, "gram", "left_semi"), "mixed-columns")
+        missing = stash(missing.join(whole, missing["a"] == whole["cid"], "left_anti"), "missing")
+        sets = whole
+        if not missing.isEmpty():
+            more = info.join(missing, info["cid"] == missing["a"], "left_semi")
+            sets = whole.union(stash(_sets_of(docs, more, text_col), "whole-rows"))
+        return _verified(fresh, sets), done.union(fresh.select("a", "b"))
+
+    done = first_pairs.select("a", "b")
+    placed = columns.withColumn("root", F.col("cid"))
+    for turn in range(LEADERS + 1):
+        roots = stash(components(links), "roots")
+        placed = columns.join(roots, columns["cid"] == roots["node"], "left").select(
+            "gram", "cid", "n", "full", F.coalesce("root", "cid").alias("root")
+        )
+        mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
+        placed = stash(placed.join(mixed, "gram", "left_semi"), "mixed-columns")
+        if turn == LEADERS:
+            break
+        first = F.struct(~F.col("full"), F.xxhash64("cid", F.lit(turn)))
+        leaders = placed.groupBy("gram").agg(F.min_by(F.struct("cid", "n", "root"), first).alias("lead"))
+        star = placed.join(leaders, "gram").where(F.col("root") != F.col("lead.root")).select(
+            F.col("cid").alias("a"), F.col("lead.cid").alias("b"), F.col("n").alias("n_a"), F.col("lead.n").alias("n_b")
+        )
+        found, done = tested(star, done)
+        links = stash(links.union(found), "links")
     cross = (
         _side(placed.where("full"), "a")
         .join(_side(placed, "b"), "gram")
         .where((F.col("root_a") != F.col("root_b")) & _sizes_fit())
         .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), "n_a", "n_b")
     )
-    found, _ = tested(cross, done.union(first_pairs.select("a", "b")))
-    return info, stash(links.union(found), "links")
+    found, _ = tested(cross, done)
+    return stash(links.union(found), "links")
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -215,6 +247,31 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns pass.
     """
     keep = [c for c in docs.columns if c not in (text_col, "n_shingles", "component_id")]
+    rows, named = _named(docs, id_col, text_col, keep)
+    out = rows.join(named, ["s1", "s2"], "left")
+    return out.select(
+        *[F.col(f"`{c}`") for c in keep],
+        F.col("n_shingles").cast("bigint").alias("n_shingles"),
+        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(f"`{id_col}`")).alias("component_id"),
+    )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without links, those without words, and of each component the one with the least id.
+
+    Of rows with that same id one stays; a component whose ids are all null keeps one row.
+    """
+    marked = stash(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    rows, named = _named(marked, id_col, text_col, [id_col, "__row"])
+    ranked = rows.where("n_shingles > 0").join(named, ["s1", "s2"])
+    first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "__row")
+    kept = ranked.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.__row").alias("__row"))
+    kept = stash(kept.union(rows.where("n_shingles = 0").select("__row")), "kept-rows")
+    return marked.join(kept, "__row", "left_semi").drop("__row")
+
+
+def _named(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Each row's set, and each set's component with its least id."""
     rows = stash(
         _keyed(shingle_sets(docs, text_col)).select(*[F.col(f"`{c}`") for c in keep], F.col("n").alias("n_shingles"), "s1", "s2"),
         "documents",
@@ -225,10 +282,4 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links)
     named = named.join(roots, named["cid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cid"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.join(ids, "root").select("s1", "s2", "component_id")
-    out = rows.join(named, ["s1", "s2"], "left")
-    return out.select(
-        *[F.col(f"`{c}`") for c in keep],
-        F.col("n_shingles").cast("bigint").alias("n_shingles"),
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(f"`{id_col}`")).alias("component_id"),
-    )
+    return rows, named.join(ids, "root").select("s1", "s2", "root", "component_id")
