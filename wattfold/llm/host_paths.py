@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -249,20 +250,21 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
     )
     schema = T.StructType([pages.schema[c] for c in keep]).add("text", "string")
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             texts = []
-            for source, path in zip(pdf["__html"], pdf["__path"]):
+            for source, path in zip(batch.column("__html").to_pylist(), batch.column("__path").to_pylist()):
                 page = read_page(source)
                 scores = weights(page)
                 on_path = [c for c in scores if page.paths[c] == path]
                 best = max(on_path, key=lambda c: (scores[c], -c), default=None)
                 texts.append(page_text(page, best if best is not None else main_container(page, scores)))
-            yield pdf[keep].assign(text=texts)
+            columns = [*(batch.column(c) for c in keep), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "text"])
 
     return (
         rows.join(winners, "__host", "left")
         .select(*[F.col(f"`{c}`") for c in keep], "__html", "__path")
-        .mapInPandas(read, schema)
+        .mapInArrow(read, schema)
         .withColumn("n_chars", F.char_length("text").cast("bigint"))
     )

@@ -6,7 +6,7 @@ import heapq
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,11 +95,11 @@ def cut(
         schema = schema.add(name, kind)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text")
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tokens.encoder(tokenizer)
-        for pdf in batches:
+        for batch in batches:
             row, start, length, total, ids = [], [], [], [], []
-            for i, found in enumerate(encode(pdf["__text"].tolist())):
+            for i, found in enumerate(encode(batch.column("__text").to_pylist())):
                 stream = np.append(found, end_id).astype("<u4")
                 n, at = len(stream), 0
                 while at < n:
@@ -110,10 +110,12 @@ def cut(
                     total.append(n)
                     ids.append(stream[at : at + size].tobytes())
                     at += size
-            out = pdf.iloc[row][keep].reset_index(drop=True)
-            yield out.assign(start=start, length=length, doc_tokens=total, ids=ids)
+            taken = batch.take(pa.array(row, pa.int64()))
+            numbers = [pa.array(x, pa.int64()) for x in (start, length, total)]
+            columns = [*(taken.column(c) for c in keep), *numbers, pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *made])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], text).mapInPandas(pieces, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], text).mapInArrow(pieces, schema)
 
 
 def assign(pieces: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
@@ -134,15 +136,21 @@ def assign(pieces: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_W
     parts = parts.withColumn("__block", F.pmod(F.xxhash64("__piece"), F.lit(blocks)))
     schema = T.StructType(pieces.schema.fields).add("sequence_id", "long").add("offset", "long")
 
-    def balance(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__piece", ignore_index=True)
-        sizes = pdf["length"].to_numpy(np.int64)
+    def balance(block: pa.Table) -> pa.Table:
+        block = block.sort_by("__piece")
+        sizes = block["length"].to_numpy()
         in_window = balanced_windows(sizes, window)
-        pdf["sequence_id"] = (pdf.pop("__block") * 2**32 + in_window) * 2 + 1
-        pdf["offset"] = pdf.groupby("sequence_id")["length"].cumsum() - pdf["length"]
-        return pdf
-
-    placed = parts.groupBy("__block").applyInPandas(balance, schema)
+        order = np.argsort(in_window, kind="stable")
+        ends = np.cumsum(sizes[order])
+        firsts = np.flatnonzero(np.diff(in_window[order], prepend=-1))
+        before = np.repeat((ends - sizes[order])[firsts], np.diff(firsts, append=len(order)))
+        offset = np.empty(len(order), np.int64)
+        offset[order] = ends - sizes[order] - before
+        sequence = (block["__block"].to_numpy() * 2**32 + in_window) * 2 + 1
+        block = block.drop_columns(["__block"]).append_column("sequence_id", pa.array(sequence))
+        return block.append_column("offset", pa.array(offset))
+
+    placed = parts.groupBy("__block").applyInArrow(balance, schema)
     return whole.unionByName(placed).drop("__piece")
 
 

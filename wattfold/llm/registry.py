@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfold.llm import collision, host_paths, jaccard, lines, maxscore, packing, sharding, token_counts, toxicity
+from wattfold.llm import collision, host_paths, jaccard, lines, maxscore, mixing, packing, sharding, token_counts, toxicity
 from wattfold.llm.common import table
 from wattfold.session import scratch_dir
 
 SHARDS = 8
 
 
+def op1_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    return mixing.mix(docs).select(
+        "doc_id", "topic", "tokens", F.round("probability", 6).alias("probability"), "kept"
+    )
+
+
 def op2_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     packed = packing.assign(packing.digests(packing.cut(docs)))
@@ -99,12 +106,19 @@ def op10_ngram_product_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(docs)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {
         name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()
     }
-    return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
+    found = dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
+    return found | {"pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_maxscore_topk": OP7_SQL}
+    return {"op1_raked_mix": mixing.mix_sql(), "op7_maxscore_topk": OP7_SQL}

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -289,20 +290,22 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool
     keep = [c for c in docs.columns if c != "score" and (keep_text or c != text_col)]
     schema = T.StructType([docs.schema[c] for c in keep]).add("score", "double")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Model.__new__(Model)
         own.p = shared.value
-        for pdf in batches:
-            texts = pdf[text_col].fillna("").tolist()
-            scores, a, size = [], 0, 0
+        for batch in batches:
+            texts = [t or "" for t in batch.column("__scored").to_pylist()]
+            scores, a, size = [np.empty(0)], 0, 0
             for i, text in enumerate(texts):
                 size += len(text)
                 if size >= CHUNK or i + 1 == len(texts):
                     scores.append(_scores(own, texts[a : i + 1]))
                     a, size = i + 1, 0
-            yield pdf[keep].assign(score=np.concatenate(scores) if scores else [])
+            columns = [*(batch.column(c) for c in keep), pa.array(np.concatenate(scores), pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in {**dict.fromkeys(keep), text_col: None}]).mapInPandas(run, schema)
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__scored"))
+    return rows.mapInArrow(run, schema)
 
 
 def _scores(model: Model, texts: list[str]) -> np.ndarray:
