@@ -249,10 +249,11 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keep = [c for c in docs.columns if c not in (text_col, "n_shingles", "component_id")]
     rows, named = _named(docs, id_col, text_col, keep)
     out = rows.join(named, ["s1", "s2"], "left")
+    component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col(f"__k{keep.index(id_col)}"))
     return out.select(
-        *[F.col(f"`{c}`") for c in keep],
+        *[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)],
         F.col("n_shingles").cast("bigint").alias("n_shingles"),
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col(f"`{id_col}`")).alias("component_id"),
+        component.alias("component_id"),
     )
 
 
@@ -264,22 +265,23 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     marked = stash(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
     rows, named = _named(marked, id_col, text_col, [id_col, "__row"])
     ranked = rows.where("n_shingles > 0").join(named, ["s1", "s2"])
-    first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "__row")
+    first = F.struct(F.col("__k0").isNull().alias("none"), F.col("__k0").alias("id"), F.col("__k1").alias("__row"))
     kept = ranked.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.__row").alias("__row"))
-    kept = stash(kept.union(rows.where("n_shingles = 0").select("__row")), "kept-rows")
+    kept = stash(kept.union(rows.where("n_shingles = 0").select(F.col("__k1").alias("__row"))), "kept-rows")
     return marked.join(kept, "__row", "left_semi").drop("__row")
 
 
 def _named(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Each row's set, and each set's component with its least id."""
-    rows = stash(
-        _keyed(shingle_sets(docs, text_col)).select(*[F.col(f"`{c}`") for c in keep], F.col("n").alias("n_shingles"), "s1", "s2"),
-        "documents",
-    )
+    """Each row's set (``keep`` as __k0, __k1, ...), and each set's component with its least id."""
+    kept = [F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)]
+    sets = _keyed(shingle_sets(docs.select(*kept, F.col(f"`{text_col}`").alias("__text")), "__text"))
+    names = [f"__k{i}" for i in range(len(keep))]
+    rows = stash(sets.select(*names, F.col("n").alias("n_shingles"), "s1", "s2"), "documents")
     info, links = link_classes(docs, text_col)
-    least = rows.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(id_col).alias("least"))
+    own = F.col(f"__k{keep.index(id_col)}")
+    least = rows.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(own).alias("own"))
     named = least.join(info.select("s1", "s2", "cid"), ["s1", "s2"])
     roots = components(links)
     named = named.join(roots, named["cid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cid"))
-    ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows, named.join(ids, "root").select("s1", "s2", "root", "component_id")
+    ids = named.groupBy("root").agg(F.min("own").alias("least"))
+    return rows, named.join(ids, "root").select("s1", "s2", "root", "least")
