@@ -49,3 +49,18 @@ def components(links: DataFrame, a: str = "a", b: str = "b", label: str = "links
             .distinct(),
             label,
         )
+
+
+def merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` after more links ``a, b``: only the components these touch are worked on."""
+    side = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
+    lifted = links.join(side("a"), "a", "left").join(side("b"), "b", "left").select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")
+    )
+    over = stash(components(lifted), "merged-roots")
+    known = roots.union(over.join(roots, "node", "left_anti").select("node", F.col("node").alias("root")))
+    up = over.select(F.col("node").alias("__node"), F.col("root").alias("__root"))
+    return stash(
+        known.join(up, F.col("root") == F.col("__node"), "left").select("node", F.coalesce("__root", "root").alias("root")),
+        "roots",
+    )

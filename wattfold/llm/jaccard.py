@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattfold.llm.common import stash
-from wattfold.llm.components import components
+from wattfold.llm.components import components, merged
 
 SHINGLE = 5
 PERCENT = 80  # two sets link when 100 * intersection >= PERCENT * union
@@ -100,7 +100,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def link_classes(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Classes of documents with equal sets (``s1, s2, n, cid``), and all links between components.
+    """Classes of documents with equal sets (``s1, s2, n, cid``), and the roots of linked ones.
 
     The matrix has a row per distinct set and a column per n-gram. Column order is by hash,
     common columns last. Each row contributes its window: a tenth more than the first columns
@@ -156,16 +156,16 @@ def link_classes(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Da
     in_pairs = first_pairs.select("a").union(first_pairs.select("b")).distinct()
     wanted = info.join(in_pairs, info["cid"] == in_pairs["a"], "left_semi").union(info.where("full")).distinct()
     whole = stash(_sets_of(docs, wanted, text_col), "whole-rows")
-    links = stash(_verified(first_pairs, whole), "links")
+    roots = stash(components(_verified(first_pairs, whole)), "roots")
 
     full = info.where("full").select("cid")
     if full.isEmpty():
-        return info, links
-    return info, _second_product(docs, text_col, info, entries, common, first_pairs, whole, links)
+        return info, roots
+    return info, _second_product(docs, text_col, info, entries, common, first_pairs, whole, roots)
 
 
-def _second_product(docs, text_col, info, entries, common, first_pairs, whole, links) -> DataFrame:
-    """``links`` and those that full rows take part in."""
+def _second_product(docs, text_col, info, entries, common, first_pairs, whole, roots) -> DataFrame:
+    """``roots`` after the links that full rows take part in."""
     full = info.where("full").select("cid")
     # How common a column is, now counting full rows whole; ``frozen`` orders all rows alike.
     expanded = whole.join(full, "cid", "left_semi").select("cid", "n", F.explode("grams").alias("gram"))
@@ -213,13 +213,12 @@ def _second_product(docs, text_col, info, entries, common, first_pairs, whole, l
     done = first_pairs.select("a", "b")
     placed = columns.withColumn("root", F.col("cid"))
     for turn in range(LEADERS + 1):
-        roots = stash(components(links), "roots")
         placed = columns.join(roots, columns["cid"] == roots["node"], "left").select(
             "gram", "cid", "n", "full", F.coalesce("root", "cid").alias("root")
         )
         mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
         placed = stash(placed.join(mixed, "gram", "left_semi"), "mixed-columns")
-        if turn == LEADERS:
+        if turn == LEADERS or placed.isEmpty():
             break
         first = F.struct(~F.col("full"), F.xxhash64("cid", F.lit(turn)))
         leaders = placed.groupBy("gram").agg(F.min_by(F.struct("cid", "n", "root"), first).alias("lead"))
@@ -227,15 +226,18 @@ def _second_product(docs, text_col, info, entries, common, first_pairs, whole, l
             F.col("cid").alias("a"), F.col("lead.cid").alias("b"), F.col("n").alias("n_a"), F.col("lead.n").alias("n_b")
         )
         found, done = tested(star, done)
-        links = stash(links.union(found), "links")
+        found = stash(found, "links")
+        if found.isEmpty():
+            break
+        roots = merged(roots, found)
     cross = (
         _side(placed.where("full"), "a")
         .join(_side(placed, "b"), "gram")
         .where((F.col("root_a") != F.col("root_b")) & _sizes_fit())
         .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), "n_a", "n_b")
     )
-    found, _ = tested(cross, done)
-    return stash(links.union(found), "links")
+    found = stash(tested(cross, done)[0], "links")
+    return roots if found.isEmpty() else merged(roots, found)
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -277,11 +279,10 @@ def _named(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> tupl
     sets = _keyed(shingle_sets(docs.select(*kept, F.col(f"`{text_col}`").alias("__text")), "__text"))
     names = [f"__k{i}" for i in range(len(keep))]
     rows = stash(sets.select(*names, F.col("n").alias("n_shingles"), "s1", "s2"), "documents")
-    info, links = link_classes(docs, text_col)
+    info, roots = link_classes(docs, text_col)
     own = F.col(f"__k{keep.index(id_col)}")
     least = rows.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(own).alias("own"))
     named = least.join(info.select("s1", "s2", "cid"), ["s1", "s2"])
-    roots = components(links)
     named = named.join(roots, named["cid"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cid"))
     ids = named.groupBy("root").agg(F.min("own").alias("least"))
     return rows, named.join(ids, "root").select("s1", "s2", "root", "least")
