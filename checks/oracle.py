@@ -491,11 +491,11 @@ def build() -> dict[str, str]:
             gaps=STORED,
         ),
         "late_data_stream": plain
-        + """, loads AS (
+        + f""", loads AS (
   SELECT *, timestamp // 60 * 60 AS s, event_type IN ('view', 'click') AS first FROM readings WHERE property = 1),
  mark AS (SELECT max(timestamp) - 600 * 60 AS wm FROM loads WHERE first)
  SELECT house_id, household_id, plug_id AS device_id, s AS slice_start,
-        sum(round(value * 1000000))::BIGINT AS units, count(*) AS count
+        {r('sum(value)', 'total')}, count(*) AS count
  FROM loads, mark WHERE first OR s + 60 > wm GROUP BY ALL""",
     }
     pages = {

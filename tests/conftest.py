@@ -22,6 +22,13 @@ def spark():
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def no_cache_left(spark):
+    """What a test caches would otherwise serve the same plans of later tests."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def small_readings(spark):
     from wattfold.sources.readings import read_events, readings_from_events

@@ -30,6 +30,35 @@ def test_decode_leaves_bad_messages_out(spark):
     assert {r.value for r in quarantine(lines(spark)).collect()} == {LINES[3], LINES[4], LINES[6], LINES[7]}
 
 
+def test_faults_are_told_apart(spark):
+    bad = {
+        "1,1704070800000,1,1,0,0,0": "time",  # milliseconds
+        "2,99999999999999999,1,1,0,0,0": "time",
+        "3,1704067200,1e300,1,0,0,0": "value",
+        "4,1704067200,1e-20,1,0,0,0": "value",
+        "5,1704067200,inf,1,0,0,0": "value",
+        "6,1704067200,1,1,0,0": "missing",
+        "7,1704167200,1,1,0,0,0": "early",
+    }
+    good = ["8,1704067200,0.0000004,1,0,0,0", "9,1704067200,0,1,0,0,0"]
+    rows = spark.createDataFrame([(v,) for v in [*bad, *good]], "value string")
+    rows = rows.withColumn("at", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    assert {r.value: r.reason for r in quarantine(rows, arrival="at").collect()} == bad
+    assert sorted(r.value for r in decode_readings(rows, arrival="at").collect()) == [0, 4e-7]
+
+
+def test_events_with_faults(spark):
+    from datetime import datetime
+
+    from wattfold.sources.readings import events_schema, quarantine_events, readings_from_events
+
+    at = datetime(2024, 1, 1)
+    rows = [(1, at, 3, None, 2.0, None), (2, at, None, "view", 2.0, None), (3, None, 3, "view", 2.0, None), (4, at, 3, "view", 1e20, None)]
+    events = spark.createDataFrame(rows, events_schema())
+    assert [r.id for r in readings_from_events(events).collect()] == [1]
+    assert {r.id: r.reason for r in quarantine_events(events).collect()} == {2: "missing", 3: "missing", 4: "value"}
+
+
 def test_decode_keeps_other_columns(spark):
     df = decode_readings(lines(spark).withColumn("topic", F.lit("a")))
     assert {r.topic for r in df.collect()} == {"a"} and "value" in df.columns

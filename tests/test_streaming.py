@@ -149,6 +149,23 @@ def test_readings_behind_the_watermark_are_dropped_and_counted(spark, readings,
     assert stored() == {(2, 0): 10, (1, 12): 52, (1, 20): 7}
 
 
+def test_bad_readings_do_not_stop_the_stream(spark, tmp_path):
+    feed = str(tmp_path / "feed")
+    lines = [
+        "1,1704070800,5,1,0,0,0",
+        "2,1704070800000,7,1,0,0,0",
+        "3,1704070800,1e300,1,0,0,0",
+        "4,1704070800,1e300,1,0,0,0",
+        "5,99999999999999999,7,1,0,0,0",
+        "6,1704070860,0.0000004,1,0,0,1",
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(feed)
+    store = TableStore(spark, str(tmp_path / "tables"))
+    run_flush(messages_feed(spark, feed), store, str(tmp_path / "checkpoint"), EngineConfig(gaps=(1, 60)))
+    got = {(r.device_id, r.slice_gap): r.avg for r in store.read("device_data").collect()}
+    assert got == {(0, 1): 5.0, (0, 60): 5.0, (1, 1): 4e-7, (1, 60): 4e-7}
+
+
 def test_repeats_count_unless_dropped(spark, readings, tmp_path):
     from wattfold.sources.readings import drop_repeats
     from wattfold.streaming.flush import base_stream

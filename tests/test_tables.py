@@ -117,6 +117,45 @@ def test_an_upsert_cut_short_is_finished_or_forgotten(store, slices, monkeypatch
     assert sorted(stored(store).values()) == [10, 20, 30]
 
 
+def test_an_interrupted_swap_is_finished_before_the_first_read(store, slices, monkeypatch):
+    """Two gaps change; the job dies at each step of moving them in. A new job reads all or nothing."""
+    from wattfold.sinks.tables import TableStore
+
+    def rows(value):
+        both = [slices("house", gap, ("2024-01-01 00:00:00", value)) for gap in (60, 120)]
+        return both[0].unionByName(both[1])
+
+    store.upsert("house_data", rows(0))
+    for step in range(12):
+        steps = []
+
+        def die(call):
+            def wrapped(*args):
+                steps.append(args)
+                if len(steps) == step + 1:
+                    raise KeyboardInterrupt
+                return call(*args)
+
+            return wrapped
+
+        died = True
+        with monkeypatch.context() as m:
+            m.setattr(store, "_delete", die(store._delete))
+            m.setattr(store, "_mkdirs", die(store._mkdirs))
+            try:
+                store.upsert("house_data", rows(step + 1))
+                died = False
+            except KeyboardInterrupt:
+                pass
+        again = TableStore(store.spark, store.root)
+        again.init_tables()
+        found = {r.avg for r in again.read("house_data").collect()}
+        assert found in ({step}, {step + 1}) if died else found == {step + 1}
+        again.upsert("house_data", rows(step + 1))
+        if not died:
+            break
+
+
 def test_init_and_purge(store, slices, spark):
     store.init_tables()
     store.upsert("house_data", slices("house", 60, ("2024-01-01 00:00:00", 1)))

@@ -4,25 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Readings are summed as whole micro-units: a bigint sum stays in generated code and gives
-# the same bits whichever task or retry adds the rows up.
-UNITS = 1_000_000
+# Sums go through a decimal, so that they give the same bits whichever task or retry adds
+# the rows up: 13 digits before the point per value, 15 behind it, 10 more for the sum.
+VALUE_DECIMAL = "decimal(28,15)"
+SUM_PRECISION, SUM_SCALE = 38, 15
+LARGEST, SMALLEST = 1e13, 1e-15
 
-# Sums of slice averages go through a decimal for the same reason: 13 digits before the
-# point per slice, 15 behind it, and 10 more digits for the sum.
-SLICE_DECIMAL = "decimal(28,15)"
 
-
-def to_units(value: Column) -> Column:
-    return F.floor(value * F.lit(float(UNITS)) + F.lit(0.5)).cast("bigint")
-
-
-def from_units(units: Column) -> Column:
-    return units.cast("double") / F.lit(float(UNITS))
+def holdable(value: Column) -> Column:
+    """Whether sums can hold a value: below ``LARGEST``, and 0 or not below ``SMALLEST``."""
+    size = F.abs(value)
+    return (size < LARGEST) & ((size == 0) | (size >= SMALLEST))
 
 
 def exact(value: Column) -> Column:
-    return value.cast(SLICE_DECIMAL)
+    return value.cast(VALUE_DECIMAL)
 
 
 def exact_sum(value: Column) -> Column:

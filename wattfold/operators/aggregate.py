@@ -37,16 +37,16 @@ def multi_window(readings: DataFrame, gaps=DEFAULT_GAPS) -> DataFrame:
 
 
 def base_slices(readings: DataFrame, gap: int = 1) -> DataFrame:
-    """``(units, count)`` per device and base slice: the additive form everything rolls up from."""
+    """``(total, count)`` per device and base slice: the additive form everything rolls up from."""
     return (
         load_only(readings)
         .select(
             *_device_ids(),
             S.slice_start(F.col("timestamp"), F.lit(gap)).alias("slice_start"),
-            numeric.to_units(F.col("value")).alias("units"),
+            numeric.exact(F.col("value")).alias("value"),
         )
         .groupBy(*DEVICE_IDS, "slice_start")
-        .agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("count"))
+        .agg(F.sum("value").alias("total"), F.count(F.lit(1)).alias("count"))
     )
 
 
@@ -66,13 +66,13 @@ def rollup_base(base: DataFrame, gaps=DEFAULT_GAPS) -> DataFrame:
         .withColumn("slice_start", S.slice_start(F.unix_seconds("slice_start"), F.col("slice_gap")))
     )
     totals = fanned.groupBy(*DEVICE_IDS, "block", "slice_gap", "slice_start").agg(
-        F.sum("units").alias("units"), F.sum("count").alias("count")
+        F.sum("total").alias("total"), F.sum("count").alias("count")
     )
     return _finish_device(totals)
 
 
 def _finish_device(totals: DataFrame) -> DataFrame:
-    value = numeric.from_units(F.col("units"))
+    value = F.col("total").cast("double")
     return S.with_slice_parts(totals).select(
         *DEVICE_IDS,
         "slice_gap",

@@ -94,9 +94,9 @@ def alert_topics(alert_rows: DataFrame, level: str, prefix: str = "") -> DataFra
     )
 
 
-def fixed2(x: Column) -> Column:
-    # The nudge makes decimal ties round up whatever their binary form is.
-    return F.format_string("%.2f", x + F.lit(1e-9))
+def fixed2(x: Column, nudge: float = 0.0) -> Column:
+    """Two decimals; a comparison with another engine may nudge decimal ties upward."""
+    return F.format_string("%.2f", x + F.lit(nudge) if nudge else x)
 
 
 def _compared() -> Column:
@@ -106,12 +106,12 @@ def _compared() -> Column:
     )
 
 
-def alert_change() -> Column:
+def alert_change(nudge: float = 0.0) -> Column:
     """``+12.34W (56.78%)``: how far the value is off the figure it was compared with."""
     diff = F.col("value") - _compared()
     sign = F.when(diff < 0, "").otherwise("+")
     percent = diff * 100 / F.nullif(_compared(), F.lit(0.0))
-    return F.concat(sign, fixed2(diff), F.lit("W ("), fixed2(percent), F.lit("%)"))
+    return F.concat(sign, fixed2(diff, nudge), F.lit("W ("), fixed2(percent, nudge), F.lit("%)"))
 
 
 # The wording of titles and of the compared figure, by alert type.
@@ -153,7 +153,7 @@ def time_ago(then: Column, now: Column) -> Column:
     )
 
 
-def alert_messages(alert_rows: DataFrame, level: str, now: Column) -> DataFrame:
+def alert_messages(alert_rows: DataFrame, level: str, now: Column, nudge: float = 0.0) -> DataFrame:
     """Title and body of each alert; its age counts from the end of its slice."""
     subject = F.format_string(_SUBJECTS[level], *[F.col(c) for c in reversed(schemas.ids(level))])
     label = S.slice_label(F.col("slice_date"), F.col("slice_index"), F.col("slice_gap"))
@@ -161,8 +161,8 @@ def alert_messages(alert_rows: DataFrame, level: str, now: Column) -> DataFrame:
     body = F.concat_ws(
         "\n",
         F.concat_ws(" ", subject, _by_type(0)),
-        F.concat(_by_type(1), F.lit(": "), fixed2(_compared()), F.lit(" (W)")),
-        F.concat(F.lit("Value: "), fixed2(F.col("value")), F.lit(" (W) ("), alert_change(), F.lit(")")),
+        F.concat(_by_type(1), F.lit(": "), fixed2(_compared(), nudge), F.lit(" (W)")),
+        F.concat(F.lit("Value: "), fixed2(F.col("value"), nudge), F.lit(" (W) ("), alert_change(nudge), F.lit(")")),
         F.concat(F.lit("Time: "), label, F.lit(" ("), time_ago(raised, now), F.lit(")")),
     )
     return alert_rows.withColumns({"title": F.concat_ws(" ", F.lit(level.capitalize()), _by_type(0)), "body": body})

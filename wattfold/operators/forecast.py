@@ -11,7 +11,7 @@ import heapq
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wattfold import schemas
 from wattfold.config import HOUSE
@@ -41,54 +41,6 @@ def _as_forecast(rows: DataFrame, level: str, version: str) -> DataFrame:
     return S.with_slice_parts(target)
 
 
-def _median_of_earlier(keys: list[str], order: str) -> dict[str, Column]:
-    # These windows hold one row a day (or a week) of one series and time of day.
-    earlier = Window.partitionBy(*keys).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
-    return {
-        "median": F.percentile("_past", F.lit(0.5)).over(earlier),
-        "history": F.count("_past").over(earlier),
-    }
-
-
-def forecast_v0(slices: DataFrame, level: str, sources: DataFrame | None = None) -> DataFrame:
-    """``sources`` limits which slices are forecast from; by default all of them."""
-    keys = schemas.series_keys(level)
-    start = F.unix_seconds("slice_start")
-    span = F.col("slice_gap") * 60
-
-    def slot(seconds):
-        return F.floor(F.pmod(seconds, F.lit(S.DAY_SECONDS)) / span).cast("int")
-
-    nothing = F.lit(None).cast("double")
-    as_history = F.struct(slot(start).alias("_slot"), F.col("avg").alias("_past"), nothing.alias("_now"))
-    as_request = F.struct(
-        slot(start + AHEAD * span).alias("_slot"), nothing.alias("_past"), F.col("avg").alias("_now")
-    )
-    columns = [*[F.col(k) for k in keys], F.col("slice_start"), start.alias("_at")]
-    if sources is None:
-        # Every slice is both: one pass over the input instead of a union of two.
-        rows = slices.select(*columns, F.explode(F.array(as_history, as_request)).alias("_r"))
-    else:
-        rows = slices.select(*columns, as_history.alias("_r")).unionByName(
-            sources.select(*columns, as_request.alias("_r"))
-        )
-    rows = rows.select(*keys, "slice_start", "_at", "_r.*")
-    found = rows.withColumns(_median_of_earlier([*keys, "_slot"], "_at")).where(F.col("_now").isNotNull())
-    return _as_forecast(found.withColumn("avg", F.col("_now")), level, "v0")
-
-
-def forecast_v2(slices: DataFrame, level: str = HOUSE) -> DataFrame:
-    chained = weekly_chains(slices, level).withColumn("_past", F.col("avg"))
-    slot = [*schemas.series_keys(level), "slice_index", "_weekday", "chain"]
-    return _as_forecast(chained.withColumns(_median_of_earlier(slot, "chain_week")), level, "v2")
-
-
-def forecast_v3(slices: DataFrame, level: str = HOUSE) -> DataFrame:
-    rows = slices.withColumns({"_past": F.col("avg"), "_day": F.unix_date("slice_date")})
-    slot = [*schemas.series_keys(level), "slice_index"]
-    return _as_forecast(rows.withColumns(_median_of_earlier(slot, "_day")), level, "v3")
-
-
 class RunningMedian:
     """Median of the values pushed so far, from a lower and an upper heap."""
 
@@ -111,42 +63,105 @@ class RunningMedian:
             return 0.0
         if len(self.low) > len(self.high):
             return -self.low[0]
-        return (self.high[0] - self.low[0]) / 2
+        return 0.5 * -self.low[0] + 0.5 * self.high[0]
 
 
 def _medians_before(keys: list[str]):
-    """Per batch of rows sorted by series and time: the median of the series before each row."""
+    """Per batch sorted by series and time: count and median of ``_past`` over the rows before each."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         series, state, seen = None, RunningMedian(), 0
         for batch in batches:
             medians, counts = [], []
-            for *key, avg in batch[[*keys, "avg"]].itertuples(index=False, name=None):
+            for *key, past in batch[[*keys, "_past"]].itertuples(index=False, name=None):
                 if key != series:
                     series, state, seen = key, RunningMedian(), 0
                 medians.append(state.value())
                 counts.append(seen)
-                state.push(avg)
-                seen += 1
+                if past == past:  # not null
+                    state.push(past)
+                    seen += 1
             yield batch.assign(median=medians, history=counts)
 
     return run
 
 
-def forecast_v1(slices: DataFrame, level: str = HOUSE) -> DataFrame:
-    """Median of the whole series so far, exact.
+def _with_medians(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """``rows`` with the median and number of ``_past`` over the rows of their keys strictly before.
 
-    A running median over all of the past cannot be merged from parts, so each series is
-    walked in time order: streamed through its task batch by batch, holding one double
-    per slice. Slices bound that, not readings: a series has 1440 / gap a day.
+    A median over all of the past cannot be merged from parts, and a window would sort the
+    past anew at every row. So each series is walked once in time order, streamed through
+    its task batch by batch, holding one double per slice: slices bound that, not
+    readings. Of rows at one time, those without ``_past`` come first and see nothing of it.
     """
-    keys = schemas.series_keys(level)
-    rows = slices.select(*keys, "slice_start", "avg")
-    placed = rows.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, "slice_start")
+    placed = rows.repartition(*[F.col(k) for k in keys])
+    placed = placed.sortWithinPartitions(*keys, order, F.col("_past").isNotNull())
     schema = T.StructType(
         [*rows.schema.fields, T.StructField("median", T.DoubleType()), T.StructField("history", T.LongType())]
     )
-    return _as_forecast(placed.mapInPandas(_medians_before(keys), schema), level, "v1")
+    return placed.mapInPandas(_medians_before(keys), schema)
+
+
+def forecast_v0(slices: DataFrame, level: str, sources: DataFrame | None = None) -> DataFrame:
+    """``sources`` limits which slices are forecast from; by default all of them."""
+    keys = schemas.series_keys(level)
+    start = F.unix_seconds("slice_start")
+    span = F.col("slice_gap") * 60
+
+    def slot(seconds):
+        return F.floor(F.pmod(seconds, F.lit(S.DAY_SECONDS)) / span).cast("int")
+
+    if sources is not None:
+        return _as_forecast(_median_of_joined(slices, sources, keys, start, slot, span), level, "v0")
+    nothing = F.lit(None).cast("double")
+    as_history = F.struct(slot(start).alias("_slot"), F.col("avg").alias("_past"), nothing.alias("_now"))
+    as_request = F.struct(
+        slot(start + AHEAD * span).alias("_slot"), nothing.alias("_past"), F.col("avg").alias("_now")
+    )
+    # Every slice is both: one pass over the input instead of a union of two.
+    rows = slices.select(
+        *[F.col(k) for k in keys],
+        F.col("slice_start"),
+        start.alias("_at"),
+        F.explode(F.array(as_history, as_request)).alias("_r"),
+    )
+    rows = rows.select(*keys, "slice_start", "_at", "_r.*")
+    found = _with_medians(rows, [*keys, "_slot"], "_at").where(F.col("_now").isNotNull())
+    return _as_forecast(found.withColumn("avg", F.col("_now")), level, "v0")
+
+
+def _median_of_joined(slices, sources, keys, start, slot, span) -> DataFrame:
+    """One grouped median per source; what is read grows with the sources times their days."""
+    asked = sources.select(
+        *keys, "slice_start", start.alias("_at"), "avg", slot(start + AHEAD * span).alias("_slot")
+    )
+    past = slices.select(*keys, slot(start).alias("_slot"), start.alias("_then"), F.col("avg").alias("_past"))
+    same = [asked[k] == past[k] for k in [*keys, "_slot"]]
+    matched = asked.join(past, [*same, past["_then"] < asked["_at"]], "left")
+    return matched.groupBy(*[asked[k] for k in keys], "slice_start").agg(
+        F.first("avg").alias("avg"),
+        F.percentile("_past", F.lit(0.5)).alias("median"),
+        F.count("_past").alias("history"),
+    )
+
+
+def forecast_v2(slices: DataFrame, level: str = HOUSE) -> DataFrame:
+    chained = weekly_chains(slices, level).withColumn("_past", F.col("avg"))
+    slot = [*schemas.series_keys(level), "slice_index", "_weekday", "chain"]
+    return _as_forecast(_with_medians(chained, slot, "chain_week"), level, "v2")
+
+
+def forecast_v3(slices: DataFrame, level: str = HOUSE) -> DataFrame:
+    rows = slices.withColumns({"_past": F.col("avg"), "_day": F.unix_date("slice_date")})
+    slot = [*schemas.series_keys(level), "slice_index"]
+    return _as_forecast(_with_medians(rows, slot, "_day"), level, "v3")
+
+
+def forecast_v1(slices: DataFrame, level: str = HOUSE) -> DataFrame:
+    """Median of the whole series so far, exact."""
+    keys = schemas.series_keys(level)
+    rows = slices.select(*keys, "slice_start", "avg", F.col("avg").alias("_past"))
+    return _as_forecast(_with_medians(rows, keys, "slice_start"), level, "v1")
 
 
 FORECASTS = {"v0": forecast_v0, "v1": forecast_v1, "v2": forecast_v2, "v3": forecast_v3}

@@ -58,9 +58,13 @@ def series_stats(series: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def actual_vs_forecast(actual: DataFrame, forecast: DataFrame, level: str = HOUSE) -> DataFrame:
+def actual_vs_forecast(
+    actual: DataFrame, forecast: DataFrame, level: str = HOUSE, version: str = "v0"
+) -> DataFrame:
     """Both series on one axis: every slice either has, 0 where one is missing, in order."""
     keys = schemas.slice_keys(level)
+    if "version" in forecast.columns:
+        forecast = forecast.where(F.col("version") == version)
     both = actual.select(*keys, F.col("avg").alias("actual")).join(
         forecast.select(*keys, F.col("avg").alias("forecast")), keys, "full"
     )

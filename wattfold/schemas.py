@@ -98,7 +98,7 @@ def _tables() -> dict[str, Table]:
         [
             *_ids(DEVICE),
             T.StructField("slice_start", T.TimestampType(), False),
-            T.StructField("units", T.LongType()),
+            T.StructField("total", T.DecimalType(38, 15)),
             T.StructField("count", T.LongType()),
             T.StructField("slice_date", T.DateType(), False),
         ],
@@ -160,9 +160,11 @@ def _tables() -> dict[str, Table]:
             T.StructField("alerts_raised", T.LongType()),
             T.StructField("seconds", T.DoubleType()),
             T.StructField("batch_id", T.LongType(), False),
+            # The newest date the batch changed, so that a batch done twice replaces itself.
+            T.StructField("slice_date", T.DateType(), False),
         ],
         ["level", "slice_gap", "batch_id"],
-        ["batch_id"],
+        ["slice_date"],
     )
     return out
 

@@ -4,7 +4,8 @@ Tables are plain partitioned parquet under one root. An upsert rewrites only the
 partitions its rows fall into: the new rows are written down first, merged with what those
 partitions hold into a staging folder, and the finished partitions are then swapped in by
 renaming. A job that dies before the swap has changed nothing; one that dies during it is
-completed by the next upsert. Repeating an upsert leaves the same rows.
+completed by the next ``recover``, which ``init_tables``, the start of a flush and every
+upsert do before they read. One job at a time writes a table. Repeating an upsert leaves the same rows.
 """
 
 from __future__ import annotations
@@ -229,6 +230,7 @@ class TableStore:
         if purge:
             self._delete(self.root)
         for name in schemas.TABLES:
+            self.recover(name)
             self._mkdirs(self.path(name))
 
     def _version_path(self, level: str, version: str) -> str:

@@ -8,10 +8,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wattfold import schemas
+from wattfold.functions import numeric
 from wattfold.session import utc
 
 LOAD = 1
 
+# The seconds of the years 1000 to 9999, and how far a reading may run ahead of its arrival.
+FIRST_SECOND, LAST_SECOND = -30_610_224_000, 253_402_300_799
+AHEAD_SECONDS = 24 * 3600
+
 # Position of each field in a CSV message; position 0 is the message id and may be anything.
 _POSITIONS = {name: i for i, name in enumerate(schemas.READING.names)}
 _REQUIRED = [n for n in schemas.READING.names if n != "id"]
@@ -29,26 +34,40 @@ def _decoded(lines: DataFrame, text: str) -> DataFrame:
     ).drop("_parts")
 
 
-def _complete():
+def fault(arrival: str | None = None):
+    """Why a reading cannot be used, null if it can.
+
+    ``missing``: a field is absent or does not parse. ``value``: no finite number that
+    sums can hold. ``time``: no year of four digits, as when milliseconds come for seconds.
+    ``early``: stamped more than ``AHEAD_SECONDS`` after the time in column ``arrival``.
+    """
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in _REQUIRED])
-    return present & F.coalesce(F.abs("value") < float("inf"), F.lit(False))
+    found = (
+        F.when(~present, "missing")
+        .when(~numeric.holdable(F.col("value")) | F.isnan("value"), "value")
+        .when(~F.col("timestamp").between(FIRST_SECOND, LAST_SECOND), "time")
+    )
+    if arrival is not None:
+        found = found.when(F.col("timestamp") > F.unix_seconds(F.col(arrival)) + AHEAD_SECONDS, "early")
+    return found
 
 
-def decode_readings(lines: DataFrame, text: str = "value") -> DataFrame:
-    """CSV messages to typed readings; messages that do not parse are left out.
+def decode_readings(lines: DataFrame, text: str = "value", arrival: str | None = None) -> DataFrame:
+    """CSV messages to typed readings; messages with a ``fault`` are left out.
 
     ``text`` names the message column; other columns (topic, arrival time) are kept.
+    ``arrival`` may name a timestamp column to hold far-future readings against.
     """
     source = lines.withColumnRenamed(text, "_message")
-    return _decoded(source, "_message").where(_complete()).drop("_message")
+    return _decoded(source, "_message").where(fault(arrival).isNull()).drop("_message")
 
 
-def quarantine(lines: DataFrame, text: str = "value") -> DataFrame:
-    """The messages ``decode_readings`` leaves out, untouched."""
+def quarantine(lines: DataFrame, text: str = "value", arrival: str | None = None) -> DataFrame:
+    """The messages ``decode_readings`` leaves out, untouched, with the ``reason``."""
     source = lines.withColumnRenamed(text, "_message")
     rest = [c for c in source.columns if c != "_message"]
-    bad = _decoded(source, "_message").where(~_complete())
-    return bad.select(*rest, F.col("_message").alias(text))
+    bad = _decoded(source, "_message").withColumn("reason", fault(arrival))
+    return bad.where(F.col("reason").isNotNull()).select(*rest, F.col("_message").alias(text), "reason")
 
 
 def encode_readings(readings: DataFrame, text: str = "value") -> DataFrame:
@@ -72,8 +91,18 @@ def readings_from_events(events: DataFrame) -> DataFrame:
     """Adapter from the generic ``events`` table.
 
     ``event_type`` stands in for the measured property, and ``user_id`` is spread over
-    five houses of three households, so that every user is one device.
+    five houses of three households, so that every user is one device. Events with a
+    ``fault`` are left out; ``quarantine_events`` has them.
     """
+    return _adapted(events).where(fault().isNull())
+
+
+def quarantine_events(events: DataFrame) -> DataFrame:
+    """The events ``readings_from_events`` leaves out, as readings with the ``reason``."""
+    return _adapted(events).withColumn("reason", fault()).where(F.col("reason").isNotNull())
+
+
+def _adapted(events: DataFrame) -> DataFrame:
     user = F.col("user_id")
     return events.select(
         F.col("event_id").cast("bigint").alias("id"),

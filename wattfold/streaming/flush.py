@@ -43,8 +43,8 @@ def base_stream(readings: DataFrame, config: EngineConfig) -> DataFrame:
             "household_id",
             F.col("plug_id").alias("device_id"),
         )
-        .agg(F.sum(numeric.to_units(F.col("value"))).alias("units"), F.count(F.lit(1)).alias("count"))
-        .select(*_DEVICE_IDS, F.col("w.start").alias("slice_start"), "units", "count")
+        .agg(F.sum(numeric.exact(F.col("value"))).alias("total"), F.count(F.lit(1)).alias("count"))
+        .select(*_DEVICE_IDS, F.col("w.start").alias("slice_start"), "total", "count")
     )
 
 
@@ -71,6 +71,8 @@ class Flush:
         self.publish = publish  # called with the (topic, value) rows of the batch's alerts
         self.with_alerts = with_alerts
         self.with_forecasts = with_forecasts
+        for name in schemas.TABLES:
+            store.recover(name)
         self._newest = None  # last slice date stored, looked up once
 
     def __call__(self, changed: DataFrame, batch_id: int) -> None:
@@ -102,7 +104,7 @@ class Flush:
         raised = dict(zip(LEVELS, done)) if self.with_alerts else {}
         if self.with_alerts:
             self._advance(changed)
-        self._record(touched, raised, batch_id, time.monotonic() - started)
+        self._record(touched, raised, batch_id, dates[-1], time.monotonic() - started)
 
     def _on(self, dates, name: str) -> DataFrame:
         return self.store.read(name, dates[0], dates[-1]).where(F.col("slice_date").isin(dates))
@@ -124,7 +126,7 @@ class Flush:
         blocks = changed.select(*_DEVICE_IDS, block.alias("_block")).distinct()
         stored = self._on(dates, "device_base").withColumn("_block", block)
         mine = stored.join(blocks, [*_DEVICE_IDS, "_block"], "left_semi")
-        whole = aggregate.rollup_base(mine.select(*_DEVICE_IDS, "slice_start", "units", "count"), self.config.gaps)
+        whole = aggregate.rollup_base(mine.select(*_DEVICE_IDS, "slice_start", "total", "count"), self.config.gaps)
         return whole.join(self._touched(changed, DEVICE), schemas.slice_keys(DEVICE), "left_semi")
 
     def _sums(self, touched: DataFrame, level: str, dates) -> DataFrame:
@@ -187,11 +189,17 @@ class Flush:
         merged = merge_baselines(self.store.read(f"{level}_prop"), fresh, level)
         self.store.upsert(f"{level}_prop", merged.withColumn("through", F.lit(last)))
 
-    def _record(self, touched, raised, batch_id: int, seconds: float) -> None:
+    def _record(self, touched, raised, batch_id: int, newest, seconds: float) -> None:
         counts = batch_metrics(touched, raised)
         self.store.upsert(
             "flush_metrics",
-            counts.withColumns({"seconds": F.lit(seconds), "batch_id": F.lit(batch_id).cast("bigint")}),
+            counts.withColumns(
+                {
+                    "seconds": F.lit(seconds),
+                    "batch_id": F.lit(batch_id).cast("bigint"),
+                    "slice_date": F.lit(newest),
+                }
+            ),
         )
 
 
