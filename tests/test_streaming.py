@@ -162,7 +162,7 @@ def test_bad_readings_do_not_stop_the_stream(spark, tmp_path):
     spark.createDataFrame([(x,) for x in lines], "value string").write.text(feed)
     store = TableStore(spark, str(tmp_path / "tables"))
     run_flush(messages_feed(spark, feed), store, str(tmp_path / "checkpoint"), EngineConfig(gaps=(1, 60)))
-    got = {(r.device_id, r.slice_gap): r.avg for r in store.read("device_data").collect()}
+    got = {(r.house_id, r.slice_gap): r.avg for r in store.read("device_data").collect()}
     assert got == {(0, 1): 5.0, (0, 60): 5.0, (1, 1): 4e-7, (1, 60): 4e-7}
 
 
