@@ -189,11 +189,11 @@ def _second_product(docs, text_col, info, entries, common, first_pairs, whole, r
     place = F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "gram")))
     ordered = expanded.join(frozen, "gram", "left").groupBy("cid", "n").agg(place.alias("all"))
     firsts = ordered.select(
-        F.explode(F.slice("all", F.lit(1), _prefix(F.col("n")).cast("int"))).alias("x"), "cid", "n"
-    ).select(F.col("x.gram").alias("gram"), "cid", "n", F.lit(True).alias("full"))
+        F.posexplode(F.slice("all", F.lit(1), _prefix(F.col("n")).cast("int"))).alias("place", "x"), "cid", "n"
+    ).select(F.col("x.gram").alias("gram"), "cid", "n", F.lit(True).alias("full"), "place")
     # Other rows take part where their windows hold uncommon columns of full ones.
     others = others.join(full, "cid", "left_anti").join(firsts.select("gram").distinct(), "gram", "left_semi")
-    columns = firsts.unionByName(others.withColumn("full", F.lit(False)))
+    columns = firsts.unionByName(others.withColumns({"full": F.lit(False), "place": F.lit(0)}))
     columns = stash(columns.withColumn("met", F.expr("count(*) over (partition by gram)")).where("met > 1").drop("met"), "full-columns")
 
     def tested(pairs: DataFrame, done: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -214,7 +214,7 @@ def _second_product(docs, text_col, info, entries, common, first_pairs, whole, r
     placed = columns.withColumn("root", F.col("cid"))
     for turn in range(LEADERS + 1):
         placed = columns.join(roots, columns["cid"] == roots["node"], "left").select(
-            "gram", "cid", "n", "full", F.coalesce("root", "cid").alias("root")
+            "gram", "cid", "n", "full", "place", F.coalesce("root", "cid").alias("root")
         )
         mixed = placed.groupBy("gram").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
         placed = stash(placed.join(mixed, "gram", "left_semi"), "mixed-columns")
@@ -230,10 +230,12 @@ def _second_product(docs, text_col, info, entries, common, first_pairs, whole, r
         if found.isEmpty():
             break
         roots = merged(roots, found)
+    # Similar rows meet in the first column they share, and before it neither has one of the other's.
+    most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
     cross = (
         _side(placed.where("full"), "a")
         .join(_side(placed, "b"), "gram")
-        .where((F.col("root_a") != F.col("root_b")) & _sizes_fit())
+        .where((F.col("root_a") != F.col("root_b")) & _sizes_fit() & _similar(most))
         .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), "n_a", "n_b")
     )
     found = stash(tested(cross, done)[0], "links")
