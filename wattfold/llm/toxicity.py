@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 TRAIN_DOCS = 3000  # labelled documents the model is fitted on, at most
 EPOCHS = 6
+STEPS = 24  # gradient steps of an epoch, about
 WINDOW, STRIDE = 64, 48  # words in a window, and from one window's start to the next
 BUCKETS, WIDTH, HIDDEN = 1 << 15, 6, 6
 GRAMS = (4, 5)  # lengths of the character n-grams of a word between its boundary marks
@@ -214,8 +215,9 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
         best = np.lexsort((-score, batch.text))
         best = best[np.searchsorted(batch.text[best], np.arange(len(texts)))]
         order = rng.permutation(len(texts))
-        for a in range(0, len(order), 256):
-            docs = order[a : a + 256]
+        size = max(16, min(256, len(texts) // STEPS))
+        for a in range(0, len(order), size):
+            docs = order[a : a + size]
             small = _only(batch, best[docs])
             grad = model.gradient(small, np.arange(len(docs)), labels[docs])
             step += 1
