@@ -269,16 +269,13 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
 
     Documents with contradicting labels count as toxic; null labels are left out.
     """
-    known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
-    rows = (
-        docs.where(~held_out(F.col("doc_id")))
-        .select("doc_id", F.coalesce("text", F.lit("")).alias("__text"))
-        .join(known, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "__text")
-        .limit(bound)
-        .collect()
-    )
-    return fit([r["__text"] for r in rows], np.array([float(r["__toxic"]) for r in rows]))
+    known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # Ids are drawn from the labels alone; only then are the drawn texts read.
+    drawn = dict(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).select("doc_id", "toxic").collect())
+    texts = docs.where(F.col("doc_id").isin(list(drawn))) if drawn else docs.where(F.lit(False))
+    rows = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).orderBy("doc_id").collect()
+    return fit([r["text"] for r in rows], np.array([float(drawn[r["doc_id"]]) for r in rows]))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
