@@ -114,6 +114,25 @@ def test_heading_of_an_article_stays():
     assert host_paths.page_text(page, host_paths.main_container(page, host_paths.weights(page))) == "T\nBody"
 
 
+def test_text_round_the_main_container_stays(spark):
+    body, side = "<p>" + "Much of the story is told here. " * 12 + "</p>", "<div><p>Popular</p><a href=x>One linked piece</a> <a href=y>Another linked piece</a></div>"
+    told = " ".join(["Much of the story is told here."] * 12)
+    pages_of = {
+        "http://a.org/": f"<body><div class=page><h1><a href=t>Title</a></h1><p>An intro of its own.</p><ul><li><a href=z>Far away</a></ul><div class=entry>{body}</div></div>{side}</body>",
+        "http://b.org/": f"<body><article><h1>Title</h1><section><p>An intro of its own.</p></section><section>{body}</section></article>{side}</body>",
+        "http://c.org/": f"<body><main><h1>Title</h1><p>An intro of its own.</p><article><div>{body}</div></article></main>{side}</body>",
+        "http://d.org/": f"<body><h1>Title</h1><p>An intro of its own.</p><article>{body}</article></body>",
+    }
+    rows = [(i, f"{url}{i}", html, "") for url, html in pages_of.items() for i in range(3)]
+    # Most pages of this host have no intro; one has, and one has two containers on the path.
+    plain = f"<body><div class=page><div class=entry>{body}</div></div></body>"
+    rows += [(10 + i, "http://e.org/", plain, "") for i in range(3)]
+    rows += [(20, "http://e.org/", f"<body><div class=page><h1>Title</h1><p>An intro of its own.</p><div class=entry>{body}</div></div></body>", "")]
+    rows += [(21, "http://e.org/", f"<body><div class=page><h1>Title</h1></div><div class=page><p>An intro of its own.</p></div><div class=page><div class=entry>{body}</div></div></body>", "")]
+    for r in host_paths.extract(pages(spark, rows)).collect():
+        assert r.text == (told if 10 <= r.page_id < 20 else f"Title\nAn intro of its own.\n{told}"), r.url
+
+
 def test_given_pages(spark):
     rows = registry.op8_host_paths(spark, SMALL).collect()
     assert len(rows) == spark.read.parquet(f"{SMALL}/pages.parquet").count()

@@ -71,10 +71,25 @@ class Block:
 
 @dataclass
 class Page:
-    """Text blocks in page order, and each container's generalised tag-class path."""
+    """Text blocks in page order, and each container's generalised tag-class path, tag and parent."""
 
     blocks: list[Block] = field(default_factory=list)
     paths: list[str] = field(default_factory=list)
+    tags: list[str] = field(default_factory=list)
+    parents: list[int] = field(default_factory=list)
+
+    def open(self, path: str, tag: str, parent: int) -> int:
+        self.paths.append(path)
+        self.tags.append(tag)
+        self.parents.append(parent)
+        return len(self.paths) - 1
+
+    def chain(self, container: int) -> list[int]:
+        """The containers from the outermost to ``container``."""
+        out = [container]
+        while out[-1]:
+            out.append(self.parents[out[-1]])
+        return out[::-1]
 
 
 @dataclass
@@ -106,7 +121,7 @@ def _is_out(tag: str, attrs: dict[str, str]) -> bool:
 def read_page(source: str) -> Page:
     """One pass over the markup; unclosed and stray tags are mended as browsers do."""
     page, stack = Page(), [_Open("#page", False, False, (0,))]
-    page.paths.append("#page")
+    page.open("#page", "#page", 0)
     parts: list[str] = []
     linked = 0
 
@@ -114,7 +129,9 @@ def read_page(source: str) -> Page:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            page.blocks.append(Block(stack[-1].within, text, min(linked, len(text))))
+            # A page's own title may link to itself.
+            title = any(o.tag == "h1" for o in stack)
+            page.blocks.append(Block(stack[-1].within, text, 0 if title else min(linked, len(text))))
         parts.clear()
         linked = 0
 
@@ -171,8 +188,8 @@ def read_page(source: str) -> Page:
         attrs = {k.lower(): a or b or c or "" for k, a, b, c in _ATTR.findall(found["attrs"])}
         top, within = stack[-1], stack[-1].within
         if tag in CONTAINERS and not top.out:
-            page.paths.append(f"{page.paths[within[-1]]}>{_label(tag, attrs.get('class', ''))}")
-            within = (*within, len(page.paths) - 1)
+            path = f"{page.paths[within[-1]]}>{_label(tag, attrs.get('class', ''))}"
+            within = (*within, page.open(path, tag, within[-1]))
         out = top.out or _is_out(tag, attrs)
         if tag in HEADINGS and top.out and top.tag in ("header", "hgroup"):
             # A title in an article's own header belongs to the article.
@@ -185,33 +202,77 @@ def read_page(source: str) -> Page:
     return page
 
 
-def weights(page: Page) -> dict[int, int]:
+def weights(page: Page, blocks: list[Block] | None = None) -> dict[int, int]:
     """Each container's characters of text in blocks, links counting against it."""
     out: dict[int, int] = {}
-    for b in page.blocks:
+    for b in page.blocks if blocks is None else blocks:
         for c in b.within:
             out[c] = out.get(c, 0) + max(0, len(b.text) - 2 * b.linked)
     return out
 
 
 def main_container(page: Page, scores: dict[int, int]) -> int:
-    """The innermost container that holds ``SHARE`` of the page's weighed text."""
+    """The innermost container that holds ``SHARE`` of the weighed text, or the article or main
+    element round it."""
     total = scores.get(0, 0)
-    return max((c for c, s in scores.items() if s >= SHARE * total), default=0) if total else 0
+    best = max((c for c, s in scores.items() if s >= SHARE * total), default=0) if total else 0
+    return next((c for c in page.chain(best) if page.tags[c] in ("article", "main")), best)
+
+
+def _beside(page: Page, core: int, blocks: list[Block]) -> dict[int, list[tuple[bool, list[int]]]]:
+    """What stands outside ``core``: by the depth of the container round both, units of block
+    numbers, and whether they are links for the most part.
+
+    A unit is all of a neighbouring container, or a single block that is in none.
+    """
+    chain, units = page.chain(core), {}
+    for i, b in enumerate(blocks):
+        depth = 0
+        while depth < min(len(chain), len(b.within)) and b.within[depth] == chain[depth]:
+            depth += 1
+        if depth < len(chain):
+            unit = b.within[depth] if depth < len(b.within) else ~i
+            units.setdefault((depth - 1, unit), []).append(i)
+    out: dict[int, list[tuple[bool, list[int]]]] = {}
+    for (depth, _), at in units.items():
+        links = 2 * sum(blocks[i].linked for i in at) > sum(len(blocks[i].text) for i in at)
+        out.setdefault(depth, []).append((links, at))
+    return out
+
+
+def whole_container(page: Page, core: int) -> int:
+    """The outermost container that adds text to ``core`` before one adds nothing but links.
+
+    Wrappers that add nothing count as well, short of the body: a title or an intro may
+    stand there on other pages of the host.
+    """
+    chain, beside, best = page.chain(core), _beside(page, core, page.blocks), core
+    for depth in range(len(chain) - 2, -1, -1):
+        added = beside.get(depth)
+        if added and all(links for links, _ in added):
+            break
+        if added or page.tags[chain[depth]] not in ("body", "html", "#page"):
+            best = chain[depth]
+    return best
 
 
-def page_text(page: Page, container: int) -> str:
-    return "\n".join(b.text for b in page.blocks if container in b.within)
+def page_text(page: Page, *containers: int) -> str:
+    """Blocks of all ``containers`` in page order, without the links beside their main part."""
+    blocks = [b for b in page.blocks if any(c in b.within for c in containers)]
+    core = main_container(page, weights(page, blocks))
+    beside = _beside(page, core, blocks).values()
+    out = {i for units in beside for links, at in units if links for i in at}
+    return "\n".join(b.text for i, b in enumerate(blocks) if i not in out)
 
 
 def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``pages`` (html dropped) with ``text`` and ``n_chars``, by two passes over the pages.
 
-    First every page scores its containers and names the tag-class path of its main one;
-    votes are summed per host and path, map-side first, so a host with a third of the pages
-    is a few rows a task. Then each page is read again and the container on its host's
-    winning path gives the text, the fullest one if there are several; where the page
-    has no text there, its own main container does. The winners are a small table that
+    First every page scores its containers and names the tag-class path of the one that holds
+    its main one and the text round it; votes are summed per host and path, map-side first, so a host with a third of the pages
+    is a few rows a task. Then each page is read again and all containers on its host's
+    winning path give the text, in page order; where the page has no text there, its own
+    container does. The winners are a small table that
     Spark broadcasts if its files are under the session's threshold and otherwise joins by
     shuffle.
 
@@ -235,7 +296,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
             for name, source in zip(pdf["__host"], pdf["__html"]):
                 page = read_page(source)
                 scores = weights(page)
-                best = main_container(page, scores)
+                best = whole_container(page, main_container(page, scores))
                 if scores.get(best):
                     cast.append((name, page.paths[best], scores[best]))
             yield pd.DataFrame(cast, columns=["__host", "path", "chars"])
@@ -257,8 +318,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
                 page = read_page(source)
                 scores = weights(page)
                 on_path = [c for c in scores if page.paths[c] == path]
-                best = max(on_path, key=lambda c: (scores[c], -c), default=None)
-                texts.append(page_text(page, best if best is not None else main_container(page, scores)))
+                texts.append(page_text(page, *(on_path or [whole_container(page, main_container(page, scores))])))
             columns = [*(batch.column(c) for c in keep), pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, "text"])
 
