@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from wattfold.llm import collision, maxscore
+from wattfold.llm import collision, maxscore, registry
 
 NAN = float("nan")
 
@@ -39,6 +39,17 @@ def test_top_products_are_exact(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_query_leaves_out_odd_vectors(spark, tmp_path):
+    draw = np.random.default_rng(2)
+    matrix = draw.standard_normal((120, 2))
+    # Two are queries themselves.
+    odd = [*ODD, (950, [NAN, 1.0], ""), (904, [float("-inf"), 1.0], ""), (1000, [float("inf"), 1.0], "")]
+    table(spark, range(120), matrix, odd).select("vec_id", "embedding").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = registry.op7_maxscore_topk(spark, str(tmp_path)).collect()
+    want = brute(range(120), np.floor(256 * matrix), [0, 50, 100], 5, lambda m, q: m @ q, True)
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_few_rows_and_none(spark):
     rows = table(spark, [0, 50], [[1, 2], [3, 4]], ODD)
     got = maxscore.top_products(rows, rows, 5, vec_col="embedding").collect()

@@ -83,8 +83,12 @@ def top_products(
 
 
 def quantised(embeddings: DataFrame, levels: int = 256) -> DataFrame:
-    """``vec_id`` and ``vec``: each component as ``floor(levels * x)`` in doubles."""
-    return embeddings.select(
+    """``vec_id`` and ``vec``: each component as ``floor(levels * x)`` in doubles.
+
+    Vectors that take no part are left out first, since floor gives whole numbers for
+    NaN and infinity too.
+    """
+    return V.usable(embeddings, "vec_id", "embedding", zero=True).select(
         "vec_id",
-        F.transform("embedding", lambda x: F.floor(x.cast("double") * levels).cast("double")).alias("vec"),
+        F.transform("vec", lambda x: F.floor(x * levels).cast("double")).alias("vec"),
     )
