@@ -133,6 +133,29 @@ def test_text_round_the_main_container_stays(spark):
         assert r.text == (told if 10 <= r.page_id < 20 else f"Title\nAn intro of its own.\n{told}"), r.url
 
 
+def test_names_alone_do_not_drop_an_article(spark):
+    said = " ".join(["Much of the story is told here."] * 12)
+    story, talk, more = (f"<p>{t}</p>" for t in (said, "A reader says this. " * 40, "And a share of it is told here."))
+    rows = [
+        (i, f"http://{i}.org/", f"<body>{html}<div class='sidebar'><p>Read this too.</p></div></body>", "")
+        for i, html in enumerate([
+            f"<div class='post-body no-sidebar'>{story}</div>",
+            f"<div class='content has-sidebar'>{story}</div>",
+            f"<div class=widget><div class=search>{story}</div></div>",
+            f"<article><div>{story}</div></article>",
+        ])
+    ]
+    rows += [(4, "http://4.org/", f"<body><article>{story}<section id='search-engines'>{more}</section></article></body>", "")]
+    # One page has more comments than text; the other pages of the host settle it.
+    page = "<body><div class=text>{}</div><section class=comments>{}</section></body>"
+    rows += [(10 + i, "http://host.org/", page.format(story, talk if i == 0 else more), "") for i in range(4)]
+    # Nothing but comments is still the text of its page.
+    rows += [(20, "http://host.org/", page.format("", more), "")]
+    got = {r.page_id: r.text for r in host_paths.extract(pages(spark, rows)).collect()}
+    alone = "And a share of it is told here."
+    assert got == {i: said for i in [0, 1, 2, 3, 10, 11, 12, 13]} | {4: f"{said}\n{alone}", 20: alone}
+
+
 def test_given_pages(spark):
     rows = registry.op8_host_paths(spark, SMALL).collect()
     assert len(rows) == spark.read.parquet(f"{SMALL}/pages.parquet").count()

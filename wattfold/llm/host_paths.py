@@ -44,7 +44,7 @@ CLOSES = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "body": ({"head"}, set()),
 }
-# What is never main text: by tag, by role, and by words of class or id.
+# What is never main text: by tag and by role. Words of class or id only make it suspect.
 OUT_TAGS = RAW | set(
     "nav header footer aside form template button select option datalist svg math canvas object "
     "audio video map dialog menu head".split()
@@ -58,6 +58,12 @@ OUT_WORDS = set(
     "comment comments reply replies respond disqus discussion footer header masthead topbar toolbar "
     "widget widgets search skip".split()
 )
+# A name of class or id is suspect where its other words are of these: not has-sidebar or search-engines.
+FRAME_WORDS = set(
+    "area bar block bottom box button buttons col column container form global group icon icons inner item "
+    "items left link links list main message mobile outer panel posts primary right row secondary section "
+    "site slot sticky tags text title top unit wrap wrapper".split()
+)
 
 
 @dataclass
@@ -77,6 +83,7 @@ class Page:
     paths: list[str] = field(default_factory=list)
     tags: list[str] = field(default_factory=list)
     parents: list[int] = field(default_factory=list)
+    suspects: dict[str, bool] = field(default_factory=dict)  # by path, whether it holds most of the text
 
     def open(self, path: str, tag: str, parent: int) -> int:
         self.paths.append(path)
@@ -98,6 +105,7 @@ class _Open:
     out: bool  # nothing in here is main text
     link: bool
     within: tuple[int, ...]
+    suspects: tuple[str, ...] = ()  # paths of the suspect elements round it, and its own
 
 
 def _label(tag: str, names: str) -> str:
@@ -112,35 +120,40 @@ def _is_out(tag: str, attrs: dict[str, str]) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "").lower()):
         return True
+    return False
+
+
+def _is_suspect(tag: str, attrs: dict[str, str]) -> bool:
+    """Whether a whole name of class or id says that this is no main text."""
     if tag in ("html", "body", "main", "article"):
         return False
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    return any(w.lower() in OUT_WORDS for w in _WORDS.findall(names))
+    names = attrs.get("class", "").split() + ([] if tag in HEADINGS else attrs.get("id", "").split())
+    words = [{w.lower() for w in _WORDS.findall(name)} for name in names]
+    return any(w & OUT_WORDS and w <= OUT_WORDS | FRAME_WORDS for w in words)
+
 
+def read_page(source: str, verdicts: dict[str, bool] | None = None) -> Page:
+    """One pass over the markup; unclosed and stray tags are mended as browsers do.
 
-def read_page(source: str) -> Page:
-    """One pass over the markup; unclosed and stray tags are mended as browsers do."""
+    Suspect elements stay if they hold most of the page's unlinked text; ``verdicts`` says
+    by path which stay whatever they hold here.
+    """
     page, stack = Page(), [_Open("#page", False, False, (0,))]
     page.open("#page", "#page", 0)
-    parts: list[str] = []
-    linked = 0
+    parts: list[tuple[str, bool, tuple[str, ...]]] = []
+    raw: list[tuple[tuple[int, ...], list[tuple[str, bool, tuple[str, ...]]]]] = []
 
     def flush() -> None:
-        nonlocal linked
-        text = " ".join("".join(parts).split())
-        if text:
+        if any(not piece.isspace() for piece, _, _ in parts):
             # A page's own title may link to itself.
             title = any(o.tag == "h1" for o in stack)
-            page.blocks.append(Block(stack[-1].within, text, 0 if title else min(linked, len(text))))
+            raw.append((stack[-1].within, [(t, link and not title, s) for t, link, s in parts]))
         parts.clear()
-        linked = 0
 
     def text(piece: str) -> None:
-        nonlocal linked
         if piece and not stack[-1].out:
             piece = entities.unescape(piece) if "&" in piece else piece
-            parts.append(piece)
-            linked += len(piece) if stack[-1].link else 0
+            parts.append((piece, stack[-1].link, stack[-1].suspects))
 
     def close(depth: int) -> None:
         if any(o.tag in BLOCKS for o in stack[depth:]):
@@ -194,11 +207,35 @@ def read_page(source: str) -> Page:
         if tag in HEADINGS and top.out and top.tag in ("header", "hgroup"):
             # A title in an article's own header belongs to the article.
             out = not any(o.tag in ("article", "main") for o in stack)
-        stack.append(_Open(tag, out, top.link or tag == "a", within))
+        suspects = top.suspects
+        if not out and _is_suspect(tag, attrs):
+            name = f"{_label(tag, attrs.get('class', ''))}#{_label('', attrs.get('id', ''))}"
+            suspects = (*suspects, f"{page.paths[within[-1]]}>{name}")
+        stack.append(_Open(tag, out, top.link or tag == "a", within, suspects))
         if tag in RAW:
             stop = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
             at = stop.start() if stop else end
     flush()
+    held: dict[str | None, int] = {}
+    for _, pieces in raw:
+        chars = {None: [0, 0]}
+        for piece, link, suspects in pieces:
+            size = len(" ".join(piece.split()))
+            for s in (None, *set(suspects)):
+                sums = chars.setdefault(s, [0, 0])
+                sums[0] += size
+                sums[1] += size if link else 0
+        for s, (size, linked) in chars.items():
+            held[s] = held.get(s, 0) + max(0, size - 2 * linked)
+    total = held.pop(None, 0)
+    page.suspects = {s: 2 * n > total for s, n in held.items()}
+    stay = page.suspects if verdicts is None else page.suspects | verdicts
+    for within, pieces in raw:
+        kept = [(t, link) for t, link, suspects in pieces if all(stay[s] for s in suspects)]
+        joined = " ".join("".join(t for t, _ in kept).split())
+        if joined:
+            linked = sum(len(t) for t, link in kept if link)
+            page.blocks.append(Block(within, joined, min(linked, len(joined))))
     return page
 
 
@@ -276,6 +313,10 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
     Spark broadcasts if its files are under the session's threshold and otherwise joins by
     shuffle.
 
+    Elements whose class or id only hints at boilerplate are voted on as well: a page is for
+    keeping one that holds most of its unlinked text, and where the pages of a host differ,
+    the greater number settles it for all of them.
+
     A null page is empty; an empty page has empty text; a null url is a host of its own.
     Repeated rows are kept. ``text`` and ``n_chars`` replace columns of those names.
     """
@@ -298,15 +339,24 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
                 scores = weights(page)
                 best = whole_container(page, main_container(page, scores))
                 if scores.get(best):
-                    cast.append((name, page.paths[best], scores[best]))
-            yield pd.DataFrame(cast, columns=["__host", "path", "chars"])
+                    cast.append((name, page.paths[best], scores[best], False))
+                cast += [(name, path, 1 if stays else -1, True) for path, stays in page.suspects.items()]
+            yield pd.DataFrame(cast, columns=["__host", "path", "chars", "suspect"])
 
-    votes = rows.select("__host", "__html").mapInPandas(ballots, "__host string, path string, chars long")
+    votes = rows.select("__host", "__html").mapInPandas(
+        ballots, "__host string, path string, chars long, suspect boolean"
+    )
+    suspect = F.col("suspect")
+    split = suspect & (F.abs("chars") < F.col("votes"))  # pages of the host differ
     winners = stash(
-        votes.groupBy("__host", "path")
+        votes.groupBy("__host", "path", "suspect")
         .agg(F.count("*").alias("votes"), F.sum("chars").alias("chars"))
         .groupBy("__host")
-        .agg(F.max_by("path", F.struct("votes", "chars", "path")).alias("__path")),
+        .agg(
+            F.max_by("path", F.when(~suspect, F.struct("votes", "chars", "path"))).alias("__path"),
+            F.collect_list(F.when(split & (F.col("chars") >= 0), F.col("path"))).alias("__stay"),
+            F.collect_list(F.when(split & (F.col("chars") < 0), F.col("path"))).alias("__go"),
+        ),
         "host-paths",
     )
     schema = T.StructType([pages.schema[c] for c in keep]).add("text", "string")
@@ -314,8 +364,11 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for source, path in zip(batch.column("__html").to_pylist(), batch.column("__path").to_pylist()):
-                page = read_page(source)
+            given = (batch.column(c).to_pylist() for c in ("__html", "__path", "__stay", "__go"))
+            for source, path, stay, go in zip(*given):
+                page = read_page(source, dict.fromkeys(stay or (), True) | dict.fromkeys(go or (), False))
+                if not page.blocks and go:
+                    page = read_page(source)
                 scores = weights(page)
                 on_path = [c for c in scores if page.paths[c] == path]
                 texts.append(page_text(page, *(on_path or [whole_container(page, main_container(page, scores))])))
@@ -324,7 +377,7 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> D
 
     return (
         rows.join(winners, "__host", "left")
-        .select(*[F.col(f"`{c}`") for c in keep], "__html", "__path")
+        .select(*[F.col(f"`{c}`") for c in keep], "__html", "__path", "__stay", "__go")
         .mapInArrow(read, schema)
         .withColumn("n_chars", F.char_length("text").cast("bigint"))
     )
