@@ -210,7 +210,7 @@ def all_alerts(body, gaps=(60,)):
     return sql(body, *ctes, gaps=gaps)
 
 
-def topics_sql():
+def topics_sql(gaps=(60,)):
     def keys(level):
         named = {"house_id": "houseId", "household_id": "householdId", "device_id": "deviceId"}
         return " || ".join(f"'\"{named[c]}\":' || {c} || ','" for c in IDS[level])
@@ -232,10 +232,10 @@ def topics_sql():
         )
         return f"SELECT unnest([{', '.join(topics)}]) AS topic, {value} AS value FROM a_{level}"
 
-    return all_alerts(three_levels(select))
+    return all_alerts(three_levels(select), gaps)
 
 
-def messages_sql():
+def messages_sql(gaps=(60,)):
     subjects = {
         "device": "'Device ' || device_id || ' of household ' || household_id || ' of house ' || house_id",
         "household": "'Household ' || household_id || ' of house ' || house_id",
@@ -252,16 +252,16 @@ def messages_sql():
          || 'Time: ' || {SLASH} || ' ' || {CLOCK} || ' (' || {AGE} || ')' AS body
   FROM (SELECT *, epoch_us({NOW}) // 1000000 - (s + slice_gap * 60) AS age FROM a_{level})"""
 
-    return all_alerts(three_levels(select))
+    return all_alerts(three_levels(select), gaps)
 
 
-def change_sql():
+def change_sql(gaps=(60,)):
     def select(level):
         return f"""
   SELECT '{level}' AS level, type, house_id, {date('s')} AS slice_date, {index('s')} AS slice_index,
          {CHANGE} AS change FROM a_{level}"""
 
-    return all_alerts(three_levels(select))
+    return all_alerts(three_levels(select), gaps)
 
 
 def history_sql(condition):
@@ -520,6 +520,17 @@ def build() -> dict[str, str]:
         )
         q[f"forecast_v0_{level}"] = sql(said_out(level), forecast_cte(level))
         q[f"meta_{level}_dates"] = dates_sql(level)
+        q[f"upsert_slices_{level}"] = sql(slice_out(level))
+        q[f"upsert_baselines_{level}"] = sql(baseline_sql(level))
+        q[f"upsert_forecasts_{level}"] = q[f"flush_stream_{level}"] = sql(
+            f"SELECT version, {ids}, {PARTS}, {r('avg', 'avg')} FROM said", forecast_cte(level)
+        )
+        q[f"upsert_alerts_{level}"] = q[f"alerts_stream_{level}"] = q[f"alerts_{level}"]
+    q["upsert_scores_all_gaps"] = sql(score_sql(("v0",)), forecast_cte("house", "said_v0"))
+    q["device_slices_stream_all_gaps"] = q["device_slices"]
+    q["alert_topics_all_gaps"] = topics_sql(DEFAULT_GAPS)
+    q["alert_change_all_gaps"] = change_sql(DEFAULT_GAPS)
+    q["alert_messages_all_gaps"] = messages_sql(DEFAULT_GAPS)
     for version in ("v1", "v2", "v3"):
         ctes = [CHAINED] if version == "v2" else []
         q[f"forecast_{version}_house"] = sql(said_out("house"), *ctes, windowed_cte(version, "said"))

@@ -23,6 +23,7 @@ from wattfold.streaming.flush import base_stream, run_flush
 ALL_CHECKS = AlertConfig(pct=20, check_min=True, check_avg=True, check_max=True)
 STORED_GAPS = (60, 120)
 STREAM_CONFIG = EngineConfig(gaps=STORED_GAPS, alerts={level: ALL_CHECKS for level in LEVELS})
+WHOLE_CONFIG = EngineConfig(gaps=DEFAULT_GAPS, alerts={level: ALL_CHECKS for level in LEVELS})
 NOW = "2024-01-31 00:00:00"
 NUDGE = 1e-9  # lifts decimal ties in printed numbers, here and in the SQL alike
 
@@ -271,22 +272,22 @@ def per_level(spark, sf_dir, build, gaps=(60,)):
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
-def alert_topics(spark, sf_dir):
-    return per_level(spark, sf_dir, lambda rows, level: A.alert_topics(rows, level, "home/"))
+def alert_topics(spark, sf_dir, gaps=(60,)):
+    return per_level(spark, sf_dir, lambda rows, level: A.alert_topics(rows, level, "home/"), gaps)
 
 
-def alert_change(spark, sf_dir):
+def alert_change(spark, sf_dir, gaps=(60,)):
     def build(rows, level):
         change = rows.withColumns({"level": F.lit(level), "change": A.alert_change(NUDGE)})
         return shaped(change, "level", "type", "house_id", "slice_date", "slice_index", "change")
 
-    return per_level(spark, sf_dir, build)
+    return per_level(spark, sf_dir, build, gaps)
 
 
-def alert_messages(spark, sf_dir):
+def alert_messages(spark, sf_dir, gaps=(60,)):
     now = F.lit(NOW).cast("timestamp")
     return per_level(
-        utc(spark), sf_dir, lambda rows, level: A.alert_messages(rows, level, now, NUDGE).select("title", "body")
+        utc(spark), sf_dir, lambda rows, level: A.alert_messages(rows, level, now, NUDGE).select("title", "body"), gaps
     )
 
 
@@ -443,76 +444,79 @@ def new_store(spark, label):
     return TableStore(spark, scratch_dir(utc(spark), label))
 
 
-def twice(spark, sf_dir, label, tables, build):
+def twice(spark, sf_dir, label, tables, build, gaps=STORED_GAPS):
     """Upsert what the first 20 days give, then what all give, and read the tables back."""
     store = new_store(spark, label)
     rows = load(spark, sf_dir)
     early = rows.where(F.col("timestamp") < F.lit(1705708800))
     for part in (early, rows):
         for name, level in tables:
-            store.upsert(name, build(aggregate.level_slices(part, level, STORED_GAPS), level))
+            store.upsert(name, build(aggregate.level_slices(part, level, gaps), level))
     return store
 
 
-def upsert_slices(spark, sf_dir):
-    store = twice(spark, sf_dir, "slices", [("household_data", HOUSEHOLD)], lambda df, level: df)
-    return shaped(store.read("household_data"), *slice_columns(HOUSEHOLD), "avg", doubles=("avg",))
+def upsert_slices(spark, sf_dir, level=HOUSEHOLD, gaps=STORED_GAPS):
+    name = f"{level}_data"
+    store = twice(spark, sf_dir, "slices", [(name, level)], lambda df, level: df, gaps)
+    return shaped(store.read(name), *slice_columns(level), "avg", doubles=("avg",))
 
 
-def upsert_baselines(spark, sf_dir):
+def upsert_baselines(spark, sf_dir, level=DEVICE, gaps=STORED_GAPS):
     def build(df, level):
         return baseline.baselines(df, level).withColumn("through", F.lit(None))
 
-    store = twice(spark, sf_dir, "props", [("device_prop", DEVICE)], build)
-    return shaped(store.read("device_prop"), *schemas.series_keys(DEVICE), *BASE, "count", doubles=BASE)
+    name = f"{level}_prop"
+    store = twice(spark, sf_dir, "props", [(name, level)], build, gaps)
+    return shaped(store.read(name), *schemas.series_keys(level), *BASE, "count", doubles=BASE)
 
 
-def upsert_forecasts(spark, sf_dir):
-    store = twice(spark, sf_dir, "forecasts", [("house_data_forecast", HOUSE)], forecast.forecast_v0)
-    stored = store.read("house_data_forecast")
-    return shaped(stored, "version", *slice_columns(HOUSE), "avg", doubles=("avg",))
+def upsert_forecasts(spark, sf_dir, level=HOUSE, gaps=STORED_GAPS):
+    name = f"{level}_data_forecast"
+    store = twice(spark, sf_dir, "forecasts", [(name, level)], forecast.forecast_v0, gaps)
+    return shaped(store.read(name), "version", *slice_columns(level), "avg", doubles=("avg",))
 
 
-def upsert_alerts(spark, sf_dir):
-    store = twice(
-        spark, sf_dir, "alerts", [("house_notification", HOUSE)], partial(A.alerts, config=ALL_CHECKS)
-    )
-    return shaped(store.read("house_notification"), "type", *slice_columns(HOUSE), *ALERT, doubles=ALERT)
+def upsert_alerts(spark, sf_dir, level=HOUSE, gaps=STORED_GAPS):
+    name = f"{level}_notification"
+    store = twice(spark, sf_dir, "alerts", [(name, level)], partial(A.alerts, config=ALL_CHECKS), gaps)
+    return shaped(store.read(name), "type", *slice_columns(level), *ALERT, doubles=ALERT)
 
 
-def upsert_scores(spark, sf_dir):
+def upsert_scores(spark, sf_dir, gaps=STORED_GAPS):
     def build(df, level):
         return stats.forecast_score(df, forecast.forecast_v0(df, level))
 
-    return scored(twice(spark, sf_dir, "scores", [("forecast_meta_data", HOUSE)], build).read("forecast_meta_data"))
+    store = twice(spark, sf_dir, "scores", [("forecast_meta_data", HOUSE)], build, gaps)
+    return scored(store.read("forecast_meta_data"))
 
 
 # -- streams ----------------------------------------------------------------------------
 
 
-def streamed(spark, sf_dir, label, **options):
+def streamed(spark, sf_dir, label, config=STREAM_CONFIG, **options):
     store = new_store(spark, label)
     # The glob lets the source be a single file as well as a folder of files.
     feed = R.readings_from_events(R.stream_events(spark, f"{sf_dir}/events.parquet*"))
-    run_flush(feed, store, f"{store.root}/_checkpoint", STREAM_CONFIG, **options)
+    run_flush(feed, store, f"{store.root}/_checkpoint", config, **options)
     return store
 
 
-def device_slices_stream(spark, sf_dir):
-    store = streamed(spark, sf_dir, "stream", with_alerts=False, with_forecasts=False)
+def device_slices_stream(spark, sf_dir, config=STREAM_CONFIG):
+    store = streamed(spark, sf_dir, "stream", config, with_alerts=False, with_forecasts=False)
     doubles = ("value", "count", "avg")
     return shaped(store.read("device_data"), *slice_columns(DEVICE), *doubles, doubles=doubles)
 
 
-def alerts_stream(spark, sf_dir):
-    store = streamed(spark, sf_dir, "stream", with_forecasts=False)
-    return shaped(store.read("house_notification"), "type", *slice_columns(HOUSE), *ALERT, doubles=ALERT)
+def alerts_stream(spark, sf_dir, level=HOUSE, config=STREAM_CONFIG):
+    store = streamed(spark, sf_dir, "stream", config, with_forecasts=False)
+    stored = store.read(f"{level}_notification")
+    return shaped(stored, "type", *slice_columns(level), *ALERT, doubles=ALERT)
 
 
-def flush_stream(spark, sf_dir):
-    store = streamed(spark, sf_dir, "stream")
-    stored = store.read("household_data_forecast")
-    return shaped(stored, "version", *slice_columns(HOUSEHOLD), "avg", doubles=("avg",))
+def flush_stream(spark, sf_dir, level=HOUSEHOLD, config=STREAM_CONFIG):
+    store = streamed(spark, sf_dir, "stream", config)
+    stored = store.read(f"{level}_data_forecast")
+    return shaped(stored, "version", *slice_columns(level), "avg", doubles=("avg",))
 
 
 def late_data_stream(spark, sf_dir):
@@ -609,6 +613,13 @@ def build() -> dict:
         q[f"alerts_page_{level}"] = partial(alerts_page, level=level, **pages[level])
         q[f"forecast_v0_{level}"] = partial(forecast_level, version="v0", level=level)
         q[f"meta_{level}_dates"] = partial(meta_dates, level=level)
+        for upsert in (upsert_slices, upsert_baselines, upsert_forecasts, upsert_alerts):
+            q[f"{upsert.__name__}_{level}"] = partial(upsert, level=level, gaps=DEFAULT_GAPS)
+        q[f"alerts_stream_{level}"] = partial(alerts_stream, level=level, config=WHOLE_CONFIG)
+        q[f"flush_stream_{level}"] = partial(flush_stream, level=level, config=WHOLE_CONFIG)
+    for every in (alert_topics, alert_change, alert_messages, upsert_scores):
+        q[f"{every.__name__}_all_gaps"] = partial(every, gaps=DEFAULT_GAPS)
+    q["device_slices_stream_all_gaps"] = partial(device_slices_stream, config=WHOLE_CONFIG)
     for version in ("v1", "v2", "v3"):
         q[f"forecast_{version}_house"] = partial(forecast_level, version=version, level=HOUSE)
     return q
