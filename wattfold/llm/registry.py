@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfold.llm import collision, host_paths, jaccard, lines, maxscore, mixing, packing, sharding, token_counts, toxicity
+from wattfold.llm import (
+    collision,
+    host_paths,
+    jaccard,
+    lines,
+    maxscore,
+    mixing,
+    packing,
+    sharding,
+    term_stages,
+    token_counts,
+    toxicity,
+)
 from wattfold.llm.common import table
 from wattfold.session import scratch_dir
 
@@ -106,6 +118,11 @@ def op10_ngram_product_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(docs)
 
 
+def op11_term_stage_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return term_stages.top_documents(docs, table(spark, sf_dir, "benchmark"), k=10)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -121,4 +138,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_raked_mix": mixing.mix_sql(), "op7_maxscore_topk": OP7_SQL}
+    return {
+        "op1_raked_mix": mixing.mix_sql(),
+        "op7_maxscore_topk": OP7_SQL,
+        "op11_term_stage_ranking": term_stages.SQL,
+    }
