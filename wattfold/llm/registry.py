@@ -15,7 +15,9 @@ from wattfold.llm import (
     maxscore,
     mixing,
     packing,
+    quality,
     sharding,
+    spelling,
     term_stages,
     token_counts,
     toxicity,
@@ -123,6 +125,17 @@ def op11_term_stage_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return term_stages.top_documents(docs, table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op12_kd_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_certified_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality.judge(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -142,4 +155,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_raked_mix": mixing.mix_sql(),
         "op7_maxscore_topk": OP7_SQL,
         "op11_term_stage_ranking": term_stages.SQL,
+        "op13_certified_quality_rules": quality.sql(),
     }
