@@ -122,14 +122,56 @@ def test_no_forecast_looks_ahead(slices, walk, version):
     assert early(walk) == early(changed)
 
 
-def test_running_median_of_equal_and_few_values():
-    m = fc.RunningMedian()
-    assert m.value() == 0.0
-    seen = []
-    for x in [5.0, 5.0, 1.0, 9.0, 9.0, 9.0, 0.0]:
-        m.push(x)
-        seen.append(x)
-        assert m.value() == median(seen)
+def random_walk(days, seed=5, rare=0.9):
+    """One series a day for very many days, with equal values, zeros and gaps."""
+    rng = random.Random(seed)
+    kinds = (lambda: 0.0, lambda: 7.25, lambda: rng.random(), lambda: rng.lognormvariate(3, 2), lambda: -rng.random())
+    return [(d, rng.choice(kinds)()) for d in range(days) if rng.random() < rare]
+
+
+def medians_of(spark, rows, chunk=None, most=1 << 15):
+    from wattfold.operators.medians import running_medians
+
+    df = spark.createDataFrame([(1, d, v) for d, v in rows], "series int, _day int, _past double")
+    if chunk:
+        df = df.withColumn("_part", F.floor(F.col("_day") / chunk))
+    got = running_medians(df, ["series"], "_day", F.lit(True), most, "_part" if chunk else None)
+    return {r["_day"]: (r["median"], r["history"]) for r in got.collect()}
+
+
+@pytest.mark.parametrize("chunk", [None, 40])
+@pytest.mark.parametrize("few", [0, 64])
+def test_running_medians_of_long_series(spark, monkeypatch, chunk, few):
+    from wattfold.operators import medians
+
+    monkeypatch.setattr(medians, "FEW", few)
+    rows = random_walk(400)
+    values = [v for _, v in rows]
+    want = {d: (median(values[:i]) if i else None, i) for i, (d, _) in enumerate(rows)}
+    got = medians_of(spark, rows, chunk)
+    assert got.keys() == want.keys()
+    for day, (value, history) in want.items():
+        assert got[day][1] == history
+        assert got[day][0] == (None if value is None else pytest.approx(value, rel=1e-12))
+
+
+@pytest.mark.parametrize("chunk", [None, 10])
+def test_a_series_that_is_too_long_is_an_error(spark, chunk):
+    with pytest.raises(Exception, match="longer than most"):
+        medians_of(spark, [(d, float(d)) for d in range(100)], chunk, most=32)
+
+
+def test_medians_need_no_python(slices, walk):
+    df = slices("house", 360, *walk)
+    for forecast in fc.FORECASTS.values():
+        plan = forecast(df, "house")._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan.replace("Scan ExistingRDD", "") and "Pandas" not in plan
+
+
+def test_v1_deals_a_series_over_tasks(slices, walk):
+    plan = fc.forecast_v1(slices("house", 360, *walk), "house")._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("slice_date" in line for line in dealt) and any("_node" in line for line in dealt)
 
 
 def hist(df, request, find):

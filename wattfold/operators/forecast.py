@@ -7,19 +7,20 @@ see only slices strictly older than the source slice.
 
 from __future__ import annotations
 
-import heapq
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wattfold import schemas
 from wattfold.config import HOUSE
 from wattfold.functions import slices as S
 from wattfold.operators.history import weekly_chains
+from wattfold.operators.medians import running_medians
 
 AHEAD = 2
 
+# How many values a median may look back on: one a day for 89 years, and for v1 two years of minutes.
+MOST_DAYS = 1 << 15
+MOST_SLICES = 1 << 20
+
 
 def _blend(avg: Column, median: Column) -> Column:
     return F.when(median > 0, (avg + median) / 2).otherwise(avg)
@@ -41,67 +42,6 @@ def _as_forecast(rows: DataFrame, level: str, version: str) -> DataFrame:
     return S.with_slice_parts(target)
 
 
-class RunningMedian:
-    """Median of the values pushed so far, from a lower and an upper heap."""
-
-    def __init__(self):
-        self.low: list[float] = []  # negated: its top is the largest of the lower half
-        self.high: list[float] = []
-
-    def push(self, x: float) -> None:
-        if self.low and x > -self.low[0]:
-            heapq.heappush(self.high, x)
-        else:
-            heapq.heappush(self.low, -x)
-        if len(self.low) > len(self.high) + 1:
-            heapq.heappush(self.high, -heapq.heappop(self.low))
-        elif len(self.high) > len(self.low):
-            heapq.heappush(self.low, -heapq.heappop(self.high))
-
-    def value(self) -> float:
-        if not self.low:
-            return 0.0
-        if len(self.low) > len(self.high):
-            return -self.low[0]
-        return 0.5 * -self.low[0] + 0.5 * self.high[0]
-
-
-def _medians_before(keys: list[str]):
-    """Per batch sorted by series and time: count and median of ``_past`` over the rows before each."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        series, state, seen = None, RunningMedian(), 0
-        for batch in batches:
-            medians, counts = [], []
-            for *key, past in batch[[*keys, "_past"]].itertuples(index=False, name=None):
-                if key != series:
-                    series, state, seen = key, RunningMedian(), 0
-                medians.append(state.value())
-                counts.append(seen)
-                if past == past:  # not null
-                    state.push(past)
-                    seen += 1
-            yield batch.assign(median=medians, history=counts)
-
-    return run
-
-
-def _with_medians(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """``rows`` with the median and number of ``_past`` over the rows of their keys strictly before.
-
-    A median over all of the past cannot be merged from parts, and a window would sort the
-    past anew at every row. So each series is walked once in time order, streamed through
-    its task batch by batch, holding one double per slice: slices bound that, not
-    readings. Of rows at one time, those without ``_past`` come first and see nothing of it.
-    """
-    placed = rows.repartition(*[F.col(k) for k in keys])
-    placed = placed.sortWithinPartitions(*keys, order, F.col("_past").isNotNull())
-    schema = T.StructType(
-        [*rows.schema.fields, T.StructField("median", T.DoubleType()), T.StructField("history", T.LongType())]
-    )
-    return placed.mapInPandas(_medians_before(keys), schema)
-
-
 def forecast_v0(slices: DataFrame, level: str, sources: DataFrame | None = None) -> DataFrame:
     """``sources`` limits which slices are forecast from; by default all of them."""
     keys = schemas.series_keys(level)
@@ -126,7 +66,7 @@ def forecast_v0(slices: DataFrame, level: str, sources: DataFrame | None = None)
         F.explode(F.array(as_history, as_request)).alias("_r"),
     )
     rows = rows.select(*keys, "slice_start", "_at", "_r.*")
-    found = _with_medians(rows, [*keys, "_slot"], "_at").where(F.col("_now").isNotNull())
+    found = running_medians(rows, [*keys, "_slot"], "_at", F.col("_now").isNotNull(), MOST_DAYS)
     return _as_forecast(found.withColumn("avg", F.col("_now")), level, "v0")
 
 
@@ -148,20 +88,24 @@ def _median_of_joined(slices, sources, keys, start, slot, span) -> DataFrame:
 def forecast_v2(slices: DataFrame, level: str = HOUSE) -> DataFrame:
     chained = weekly_chains(slices, level).withColumn("_past", F.col("avg"))
     slot = [*schemas.series_keys(level), "slice_index", "_weekday", "chain"]
-    return _as_forecast(_with_medians(chained, slot, "chain_week"), level, "v2")
+    return _as_forecast(running_medians(chained, slot, "chain_week", F.lit(True), MOST_DAYS), level, "v2")
 
 
 def forecast_v3(slices: DataFrame, level: str = HOUSE) -> DataFrame:
     rows = slices.withColumns({"_past": F.col("avg"), "_day": F.unix_date("slice_date")})
     slot = [*schemas.series_keys(level), "slice_index"]
-    return _as_forecast(_with_medians(rows, slot, "_day"), level, "v3")
+    return _as_forecast(running_medians(rows, slot, "_day", F.lit(True), MOST_DAYS), level, "v3")
 
 
-def forecast_v1(slices: DataFrame, level: str = HOUSE) -> DataFrame:
-    """Median of the whole series so far, exact."""
+def forecast_v1(slices: DataFrame, level: str = HOUSE, most: int = MOST_SLICES) -> DataFrame:
+    """Median of the whole series so far, exact; counted a day at a time, so a series is spread over tasks.
+
+    ``most`` bounds the slices of a series; each factor of 8 more costs another pass.
+    """
     keys = schemas.series_keys(level)
-    rows = slices.select(*keys, "slice_start", "avg", F.col("avg").alias("_past"))
-    return _as_forecast(_with_medians(rows, keys, "slice_start"), level, "v1")
+    at = F.unix_seconds("slice_start").alias("_at")
+    rows = slices.select(*keys, "slice_start", "slice_date", at, "avg", F.col("avg").alias("_past"))
+    return _as_forecast(running_medians(rows, keys, "_at", F.lit(True), most, chunk="slice_date"), level, "v1")
 
 
 FORECASTS = {"v0": forecast_v0, "v1": forecast_v1, "v2": forecast_v2, "v3": forecast_v3}
