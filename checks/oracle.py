@@ -491,12 +491,19 @@ def build() -> dict[str, str]:
             gaps=STORED,
         ),
         "late_data_stream": plain
-        + f""", loads AS (
-  SELECT *, timestamp // 60 * 60 AS s, event_type IN ('view', 'click') AS first FROM readings WHERE property = 1),
- mark AS (SELECT max(timestamp) - 600 * 60 AS wm FROM loads WHERE first)
- SELECT house_id, household_id, plug_id AS device_id, s AS slice_start,
+        + f""", wrong AS (
+  SELECT *, epoch_us(ts + INTERVAL 40 YEARS) // 1000000 AS ahead FROM events
+  WHERE event_type IN ('view', 'click') ORDER BY event_id LIMIT 1),
+ loads AS (
+  SELECT house_id, household_id, plug_id, value, timestamp, event_type IN ('view', 'click') AS first
+  FROM readings WHERE property = 1
+  UNION ALL SELECT house_id, household_id, plug_id, wrong.value, ahead, true FROM wrong JOIN readings ON id = event_id),
+ mark AS (
+  SELECT house_id, household_id, plug_id, max(timestamp) - 600 * 60 AS wm FROM loads WHERE first GROUP BY ALL)
+ SELECT house_id, household_id, plug_id AS device_id, timestamp // 60 * 60 AS slice_start,
         {r('sum(value)', 'total')}, count(*) AS count
- FROM loads, mark WHERE first OR s + 60 > wm GROUP BY ALL""",
+ FROM loads LEFT JOIN mark USING (house_id, household_id, plug_id)
+ WHERE first OR wm IS NULL OR timestamp // 60 * 60 + 60 > wm GROUP BY ALL""",
     }
     pages = {
         "device": "LIMIT 10",

@@ -122,19 +122,20 @@ def test_ingest_rates_on_a_stream(spark, readings, tmp_path):
     assert [(r.total, r.load, r.total_speed) for r in got] == [(2, 1, 0.2), (1, 1, 0.1)]
 
 
-def test_readings_behind_the_watermark_are_dropped_and_counted(spark, readings, tmp_path):
+def test_readings_behind_the_devices_clock_are_dropped_and_counted(spark, readings, tmp_path):
     feed, checkpoint = str(tmp_path / "feed"), str(tmp_path / "checkpoint")
     store = TableStore(spark, str(tmp_path / "tables"))
 
     def run():
-        options = {"with_alerts": False, "with_forecasts": False}
-        return run_flush(messages_feed(spark, feed), store, checkpoint, CONFIG, **options)
+        return run_flush(messages_feed(spark, feed), store, checkpoint, CONFIG, with_forecasts=False)
 
     drop(readings(("2024-01-02T00:00:00", 10), ("2024-01-01T12:00:00", 5)), feed)
     run()
     drop(readings(("2024-01-01T12:30:00", 99), ("2024-01-01T20:00:00", 7)), feed)
     query = run()
     assert sum(r["dropped_late"] for r in progress_rows(query)) == 1
+    assert store.read("flush_metrics").agg(F.max("readings_late")).first()[0] == 1
+
     def stored():
         rows = store.read("house_data").where("slice_gap = 60").collect()
         return {(r.slice_date.day, r.slice_index): r.avg for r in rows}
@@ -166,9 +167,112 @@ def test_bad_readings_do_not_stop_the_stream(spark, tmp_path):
     assert got == {(0, 1): 5.0, (0, 60): 5.0, (1, 1): 4e-7, (1, 60): 4e-7}
 
 
+def lagging(readings):
+    """House 0 runs on; its second device, a lagging one, comes days later with days long closed."""
+    day = [f"2024-01-{d:02d}T{h:02d}:00:00" for d in range(1, 9) for h in (1, 3, 5)]
+    prompt = [(t, 10 + i % 5, 0, 0, 0) for i, t in enumerate(day)]
+    slow = [(t, 100 + 7 * (i % 3), 0, 0, 1) for i, t in enumerate(day[:12])]
+    return [readings(*prompt[:21]), readings(*prompt[21:], *slow[:3]), readings(*slow[3:])]
+
+
+@pytest.mark.parametrize("guarded", [True, False])
+def test_a_wrong_clock_harms_nobody_else(spark, readings, tmp_path, guarded):
+    """One reading 40 years ahead, then good ones of all devices, a lagging one among them."""
+    feed, checkpoint = str(tmp_path / "feed"), str(tmp_path / "checkpoint")
+    store = TableStore(spark, str(tmp_path / "tables"))
+    wrong = readings(("2064-01-01T00:00:00", 5, 7, 7, 7))
+    parts = lagging(readings)
+    late = 0
+    for part in [parts[0].unionByName(wrong), *parts[1:]]:
+        drop(part, feed)
+        rows = decode_readings(stream_messages(spark, feed), arrival=None if guarded else False)
+        query = run_flush(rows, store, checkpoint, CONFIG)
+        late += sum(r["dropped_late"] for r in progress_rows(query))
+    assert late == 0
+    good = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    device = aggregate.device_slices(good if guarded else good.unionByName(wrong), CONFIG.gaps)
+    levels = {"device": device, "household": aggregate.household_slices(device), "house": aggregate.house_slices(device)}
+    for level, want in levels.items():
+        assert same(store.read(f"{level}_data"), want), level
+        assert same(store.read(f"{level}_notification"), alerts(want, level, CONFIG.alerts[level])), level
+        said = forecast_v0(want, level).drop("source_start", "median", "history")
+        assert same(store.read(f"{level}_data_forecast"), said), level
+        props = store.read(f"{level}_prop")
+        closed = want.where(F.col("slice_date") < F.lit(props.agg(F.max("through")).first()[0]))
+        assert same(props, baselines(closed, level).drop("total")), level
+
+
+def test_sums_on_the_stream_are_exact():
+    import numpy as np
+
+    from wattfold.streaming.device_clock import sums_of
+
+    rng = np.random.default_rng(1)
+    start = rng.integers(0, 3, 30000) * 60
+    whole, part = rng.integers(-(10**12), 10**12, 30000), rng.integers(0, 10**15, 30000)
+    got: dict[int, int] = {}
+    for s, units, _ in sums_of(start, whole, part):
+        got[s] = got.get(s, 0) + units
+    want = {int(s): sum(int(w) * 10**15 + int(p) for w, p in zip(whole[start == s], part[start == s])) for s in set(start)}
+    assert got == want
+
+
+def test_a_silent_device_is_closed(monkeypatch):
+    from wattfold.streaming.device_clock import DeviceClock
+
+    class Value:
+        held = None
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+
+        def update(self, value):
+            self.held = value
+
+    class Map(dict):
+        updateValue = dict.__setitem__
+        getValue = dict.get
+        removeKey = dict.pop
+
+    class Handle:
+        def __init__(self):
+            self.timers = []
+
+        def getValueState(self, *_):
+            return Value()
+
+        def getMapState(self, *_):
+            return Map()
+
+        registerTimer = lambda self, at: self.timers.append(at)
+
+    class Now:
+        def __init__(self, ms):
+            self.getCurrentWatermarkInMs = lambda: ms
+
+    import pandas as pd
+
+    def given(heard_ms, *seconds):
+        starts = [s // 60 * 60 for s in seconds]
+        heard = pd.Timestamp(heard_ms, unit="ms", tz="UTC")
+        return iter([pd.DataFrame({"timestamp": seconds, "start": starts, "whole": 1, "part": 0, "heard": heard})])
+
+    handle, clock = Handle(), DeviceClock(1, 10, 30)
+    clock.init(handle)
+    key = (1, 2, 3)
+    out = pd.concat(clock.handleInputRows(key, given(0, 6000, 6030, 6300), Now(0)))
+    assert out["count"].tolist() == [2, 1] and handle.timers == [30 * 60_000]
+    list(clock.handleInputRows(key, given(60_000, 6001), Now(0)))
+    list(clock.handleExpiredTimer(key, Now(30 * 60_000), None))
+    assert len(clock.open) == 2 and handle.timers[-1] == 31 * 60_000  # heard of since
+    list(clock.handleExpiredTimer(key, Now(31 * 60_000), None))
+    assert not clock.open
+    out = pd.concat(clock.handleInputRows(key, given(32 * 60_000, 6002, 6301, 6400), Now(0)))
+    assert out["late"].tolist() == [0, 1, 1]  # what was stored is not started anew
+
+
 def test_repeats_count_unless_dropped(spark, readings, tmp_path):
     from wattfold.sources.readings import drop_repeats
-    from wattfold.streaming.flush import base_stream
+    from wattfold.streaming.device_clock import device_sums
 
     rows = readings(("2024-01-01T00:00:00", 10))
     feed = str(tmp_path / "feed")
@@ -185,4 +289,4 @@ def test_repeats_count_unless_dropped(spark, readings, tmp_path):
 
     assert counts(messages_feed(spark, feed), "all_rows") == 2
     assert counts(drop_repeats(messages_feed(spark, feed), 600), "one_each") == 1
-    assert base_stream(messages_feed(spark, feed), CONFIG).isStreaming
+    assert device_sums(messages_feed(spark, feed), CONFIG).isStreaming

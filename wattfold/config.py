@@ -55,6 +55,8 @@ class EngineConfig:
     gaps: tuple[int, ...] = DEFAULT_GAPS
     flush_seconds: int = 60
     watermark_minutes: int = 600
+    # A device not heard of for so long is closed up to its newest reading.
+    idle_minutes: int = 2 * MINUTES_PER_DAY
     topic_prefix: str = ""
     publish_alerts: bool = True
     clean_tables: bool = False

@@ -158,6 +158,7 @@ def _tables() -> dict[str, Table]:
             T.StructField("slice_gap", T.IntegerType(), False),
             T.StructField("slices_saved", T.LongType()),
             T.StructField("alerts_raised", T.LongType()),
+            T.StructField("readings_late", T.LongType()),
             T.StructField("seconds", T.DoubleType()),
             T.StructField("batch_id", T.LongType(), False),
             # The newest date the batch changed, so that a batch done twice replaces itself.

@@ -1,27 +1,23 @@
 """Keyed parquet tables: create, read, upsert, purge.
 
-Tables are plain partitioned parquet under one root. An upsert rewrites only the
-partitions its rows fall into: the new rows are written down first, merged with what those
-partitions hold into a staging folder, and the finished partitions are then swapped in by
-renaming. A job that dies before the swap has changed nothing; one that dies during it is
-completed by the next ``recover``, which ``init_tables``, the start of a flush and every
-upsert do before they read. One job at a time writes a table. Repeating an upsert leaves the same rows.
+Tables are plain partitioned parquet under one root. An upsert merges its rows with what the
+partitions they fall into hold, and overwrites just those partitions, by Spark's dynamic
+partition overwrite: a job that fails has changed nothing. One job at a time writes a table.
+Repeating an upsert leaves the same rows.
 """
 
 from __future__ import annotations
 
-import uuid
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wattfold import schemas
 from wattfold.config import LEVELS
-from wattfold.session import utc
+from wattfold.session import scratch_dir, utc
 
-_STAGING = "_staging"
-_READY = "_READY"
 _SPOOL = "_spool"
+_LOOKUPS = 40  # days that are looked up one by one; beyond, folders are listed
 
 
 def _dated(part: str, first, last) -> bool:
@@ -67,11 +63,12 @@ class TableStore:
     def _partitions(self, table, path: str, first=None, last=None) -> list[str]:
         """The partition folders below a table's folder; one per gap and day at most.
 
-        Between two dates each day's folder is looked up, which beats listing a long history.
+        Between two dates not far apart each day's folder is looked up, which beats listing a long history.
         """
+        near = first is not None and last is not None and (last - first).days < _LOOKUPS
         found = [""]
         for column in table.partitions:
-            if column == "slice_date" and first is not None and last is not None:
+            if column == "slice_date" and near:
                 days = [str(first + timedelta(days=n)) for n in range((last - first).days + 1)]
                 named = [f"{at}/{column}={day}".lstrip("/") for at in found for day in days]
                 found = [part for part in named if self._exists(f"{path}/{part}")]
@@ -119,9 +116,9 @@ class TableStore:
 
     # -- writing ---------------------------------------------------------------------
 
-    def spool(self, rows: DataFrame) -> DataFrame:
+    def spool(self, rows: DataFrame, label: str = "batch") -> DataFrame:
         """Write one batch's rows down and read them back, cutting their lineage."""
-        path = f"{self.root}/{_SPOOL}"
+        path = f"{self.root}/{_SPOOL}/{label}"
         rows.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
@@ -153,30 +150,31 @@ class TableStore:
         self._merge(name, rows, keep, self._partitions(table, self.path(name), first, last))
 
     def _merge(self, name, rows, keep, also=()) -> None:
-        """Rewrite the partitions ``rows`` fall into, and ``also`` those, as ``keep`` says."""
+        """Overwrite the partitions ``rows`` fall into, and ``also`` those, with what ``keep`` leaves of them and the rows."""
         table = schemas.TABLES[name]
-        self.recover(name)
-        # Writing the new rows down first cuts their lineage: they are computed once, and
-        # the folders made tell which partitions they touch.
-        incoming = self._stage(table)
+        # Written down first, the rows are computed once, and the folders made tell which partitions they touch.
+        incoming = f"{scratch_dir(self.spark, name)}/rows"
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
         self._write(table, typed, incoming)
         touched = sorted({*self._partitions(table, incoming), *also})
         overlap = [part for part in touched if self._exists(f"{self.path(name)}/{part}")]
-        if not overlap:
-            return self._publish(table, incoming)
         new = self.spark.read.schema(table.schema).parquet(incoming)
+        if not overlap:
+            if touched:
+                self._write(table, new, self.path(name))
+            return
         old = self._folders(table, overlap)
-        merged = self._stage(table)
-        self._write(table, keep(old, new).select(*table.columns).unionByName(new), merged)
-        for part in overlap:  # a partition may have lost its last row
-            self._mkdirs(f"{merged}/{part}")
-        self._publish(table, merged)
+        merged = keep(old, new).select(*table.columns).unionByName(new)
+        emptied = []
+        if also:
+            # Dynamic overwrite leaves a partition alone that gets no rows at all.
+            left = {tuple(map(str, r)) for r in merged.select(*table.partitions).distinct().collect()}
+            emptied = [p for p in overlap if tuple(x.split("=", 1)[1] for x in p.split("/")) not in left]
+        self._write(table, merged, self.path(name))
+        for part in emptied:
+            self._delete(f"{self.path(name)}/{part}")
         self._delete(incoming)
 
-    def _stage(self, table) -> str:
-        return f"{self.root}/{_STAGING}/{table.name}/{uuid.uuid4().hex}"
-
     def _write(self, table, rows: DataFrame, path: str) -> None:
         # Rebalancing splits a large partition over several files and joins small ones;
         # sorted files let a reader skip to the slices of one time of day.
@@ -185,44 +183,11 @@ class TableStore:
             rows.hint("rebalance", *[F.col(c) for c in table.partitions])
             .sortWithinPartitions(*table.partitions, *order)
             .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*table.partitions)
             .parquet(path)
         )
 
-    def _publish(self, table, staged: str) -> None:
-        marker, fs = self._fs(f"{staged}/{_READY}")
-        fs.create(marker, True).close()
-        self._swap(table, staged)
-
-    def _swap(self, table, staged: str) -> None:
-        self._move(staged, f"{self.root}/{table.name}", len(table.partitions))
-        self._delete(staged)
-
-    def _move(self, source: str, target: str, depth: int) -> None:
-        """Put ``source``'s partitions in place: whole branches where the target has none."""
-        for child in self._children(source):
-            name = child.rsplit("/", 1)[1]
-            if "=" not in name:
-                continue
-            place = f"{target}/{name}"
-            if depth > 1 and self._exists(place):
-                self._move(child, place, depth - 1)
-                continue
-            self._delete(place)
-            self._mkdirs(target)
-            at, fs = self._fs(child)
-            if not fs.rename(at, self._fs(place)[0]):
-                raise OSError(f"could not move {child} to {place}")
-
-    def recover(self, name: str) -> None:
-        """Finish or discard what an interrupted upsert left in the staging folder."""
-        table = schemas.TABLES[name]
-        for staged in self._children(f"{self.root}/{_STAGING}/{table.name}"):
-            if self._exists(f"{staged}/{_READY}"):
-                self._swap(table, staged)
-            else:
-                self._delete(staged)
-
     # -- maintenance -----------------------------------------------------------------
 
     def init_tables(self, purge: bool = False) -> None:
@@ -230,7 +195,6 @@ class TableStore:
         if purge:
             self._delete(self.root)
         for name in schemas.TABLES:
-            self.recover(name)
             self._mkdirs(self.path(name))
 
     def _version_path(self, level: str, version: str) -> str:

@@ -34,12 +34,22 @@ def _decoded(lines: DataFrame, text: str) -> DataFrame:
     ).drop("_parts")
 
 
-def fault(arrival: str | None = None):
+def _arrival(rows: DataFrame, arrival):
+    """When rows arrived: the named column, on a stream the time of the batch, else unknown.
+
+    ``False`` switches the test for readings ahead of their time off.
+    """
+    if arrival is None and rows.isStreaming:
+        return F.current_timestamp()
+    return F.col(arrival) if arrival else None
+
+
+def fault(arrival=None):
     """Why a reading cannot be used, null if it can.
 
     ``missing``: a field is absent or does not parse. ``value``: no finite number that
     sums can hold. ``time``: no year of four digits, as when milliseconds come for seconds.
-    ``early``: stamped more than ``AHEAD_SECONDS`` after the time in column ``arrival``.
+    ``early``: stamped more than ``AHEAD_SECONDS`` after the time ``arrival``.
     """
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in _REQUIRED])
     found = (
@@ -48,25 +58,27 @@ def fault(arrival: str | None = None):
         .when(~F.col("timestamp").between(FIRST_SECOND, LAST_SECOND), "time")
     )
     if arrival is not None:
-        found = found.when(F.col("timestamp") > F.unix_seconds(F.col(arrival)) + AHEAD_SECONDS, "early")
+        found = found.when(F.col("timestamp") > F.unix_seconds(arrival) + AHEAD_SECONDS, "early")
     return found
 
 
-def decode_readings(lines: DataFrame, text: str = "value", arrival: str | None = None) -> DataFrame:
+def decode_readings(lines: DataFrame, text: str = "value", arrival: str | bool | None = None) -> DataFrame:
     """CSV messages to typed readings; messages with a ``fault`` are left out.
 
     ``text`` names the message column; other columns (topic, arrival time) are kept.
-    ``arrival`` may name a timestamp column to hold far-future readings against.
+    ``arrival`` may name a timestamp column to hold far-future readings against; a stream
+    holds them against the time of the batch unless it is ``False``.
     """
     source = lines.withColumnRenamed(text, "_message")
-    return _decoded(source, "_message").where(fault(arrival).isNull()).drop("_message")
+    found = fault(_arrival(lines, arrival))
+    return _decoded(source, "_message").where(found.isNull()).drop("_message")
 
 
-def quarantine(lines: DataFrame, text: str = "value", arrival: str | None = None) -> DataFrame:
+def quarantine(lines: DataFrame, text: str = "value", arrival: str | bool | None = None) -> DataFrame:
     """The messages ``decode_readings`` leaves out, untouched, with the ``reason``."""
     source = lines.withColumnRenamed(text, "_message")
     rest = [c for c in source.columns if c != "_message"]
-    bad = _decoded(source, "_message").withColumn("reason", fault(arrival))
+    bad = _decoded(source, "_message").withColumn("reason", fault(_arrival(lines, arrival)))
     return bad.where(F.col("reason").isNotNull()).select(*rest, F.col("_message").alias(text), "reason")
 
 
@@ -87,27 +99,28 @@ def union_topics(feeds: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), marked)
 
 
-def readings_from_events(events: DataFrame) -> DataFrame:
+def readings_from_events(events: DataFrame, arrival: str | bool | None = None) -> DataFrame:
     """Adapter from the generic ``events`` table.
 
     ``event_type`` stands in for the measured property, and ``user_id`` is spread over
     five houses of three households, so that every user is one device. Events with a
-    ``fault`` are left out; ``quarantine_events`` has them.
+    ``fault`` are left out; ``quarantine_events`` has them. ``arrival`` as for ``decode_readings``.
     """
-    return _adapted(events).where(fault().isNull())
+    return _adapted(events).where(fault(_arrival(events, arrival)).isNull()).select(*schemas.READING.names)
 
 
-def quarantine_events(events: DataFrame) -> DataFrame:
+def quarantine_events(events: DataFrame, arrival: str | bool | None = None) -> DataFrame:
     """The events ``readings_from_events`` leaves out, as readings with the ``reason``."""
-    return _adapted(events).withColumn("reason", fault()).where(F.col("reason").isNotNull())
+    bad = _adapted(events).withColumn("reason", fault(_arrival(events, arrival)))
+    return bad.where(F.col("reason").isNotNull()).select(*schemas.READING.names, "reason")
 
 
 def _adapted(events: DataFrame) -> DataFrame:
     user = F.col("user_id")
     return events.select(
+        "*",
         F.col("event_id").cast("bigint").alias("id"),
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("timestamp"),
-        F.col("value"),
         F.when(F.col("event_type").eqNullSafe("error"), 0).otherwise(LOAD).alias("property"),
         F.floor(user / 15).cast("int").alias("plug_id"),
         F.pmod(F.floor(user / 5), F.lit(3)).cast("int").alias("household_id"),

@@ -1,10 +1,12 @@
 """The streaming job: readings in, every table kept up to date batch by batch.
 
-The stream itself holds one stateful step, sums per device and base slice in update mode,
-so a batch carries exactly the base slices that changed. The rest of a flush is batch
-work on stored tables, in this order: base slices, device slices, household and house
-slices, alerts, forecasts, baselines. Every step replaces keyed rows computed from stored
-ones, so a batch that runs twice leaves what it left the first time.
+The stream itself holds one stateful step, sums per device and base slice, each device on
+its own clock (``device_clock``), so a batch carries exactly the base slices that changed.
+The rest of a flush is batch work on stored tables, in this order: base slices, device
+slices, household and house slices, alerts, forecasts, baselines. Every step replaces keyed
+rows computed from stored ones, so a batch that runs twice leaves what it left the first time.
+A device that lags behind the others may change days whose baselines are folded already;
+those series are folded anew.
 """
 
 from __future__ import annotations
@@ -16,38 +18,19 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, functions as F
 
 from wattfold import schemas
-from wattfold.config import DEVICE, HOUSE, HOUSEHOLD, LEVELS, EngineConfig, base_gap, block_gap
-from wattfold.functions import numeric, slices as S
+from wattfold.config import DEVICE, HOUSE, HOUSEHOLD, LEVELS, EngineConfig, block_gap
+from wattfold.functions import slices as S
 from wattfold.operators import aggregate
 from wattfold.operators.alerts import alert_topics, alerts
 from wattfold.operators.baseline import baselines, merge_baselines
 from wattfold.operators.forecast import AHEAD, forecast_v0
 from wattfold.operators.ingest import batch_metrics
 from wattfold.sinks.tables import TableStore
-from wattfold.sources.readings import load_only
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from wattfold.streaming.device_clock import device_sums
 
 _DEVICE_IDS = schemas.ids(DEVICE)
 
 
-def base_stream(readings: DataFrame, config: EngineConfig) -> DataFrame:
-    """Streaming sums per device and base slice; late readings are dropped and counted."""
-    gap = base_gap(config.gaps)
-    timed = load_only(readings).withColumn("ts", F.timestamp_seconds("timestamp"))
-    return (
-        timed.withWatermark("ts", f"{config.watermark_minutes} minutes")
-        .groupBy(
-            F.window("ts", f"{gap} minutes").alias("w"),
-            "house_id",
-            "household_id",
-            F.col("plug_id").alias("device_id"),
-        )
-        .agg(F.sum(numeric.exact(F.col("value"))).alias("total"), F.count(F.lit(1)).alias("count"))
-        .select(*_DEVICE_IDS, F.col("w.start").alias("slice_start"), "total", "count")
-    )
-
-
 def _together(steps) -> list:
     """Run independent steps at once, so that small jobs do not wait for one another."""
     steps = list(steps)
@@ -71,16 +54,16 @@ class Flush:
         self.publish = publish  # called with the (topic, value) rows of the batch's alerts
         self.with_alerts = with_alerts
         self.with_forecasts = with_forecasts
-        for name in schemas.TABLES:
-            store.recover(name)
         self._newest = None  # last slice date stored, looked up once
 
-    def __call__(self, changed: DataFrame, batch_id: int) -> None:
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
         started = time.monotonic()
         store = self.store
-        changed = changed.withColumn("slice_date", S.slice_date(F.col("slice_start")))
+        batch = batch.withColumn("slice_date", S.slice_date(F.col("slice_start")))
         # The batch is computed once, into a spool file every later step reads.
-        changed = store.spool(changed)
+        batch = store.spool(batch)
+        self._late = batch.where("late > 0") if "late" in batch.columns else None
+        changed = batch.where("late = 0").drop("late") if "late" in batch.columns else batch
         dates = sorted(r[0] for r in changed.select("slice_date").distinct().collect())
         if not dates:
             return
@@ -103,7 +86,7 @@ class Flush:
         done = _together(steps)
         raised = dict(zip(LEVELS, done)) if self.with_alerts else {}
         if self.with_alerts:
-            self._advance(changed)
+            self._advance(changed, touched)
         self._record(touched, raised, batch_id, dates[-1], time.monotonic() - started)
 
     def _on(self, dates, name: str) -> DataFrame:
@@ -142,10 +125,19 @@ class Flush:
     def _alert(self, level: str, touched: DataFrame) -> DataFrame:
         """Redo the alerts of the touched series since the horizon, and store them."""
         through = self._horizon(level)
-        series = touched.select(*schemas.series_keys(level)).distinct()
-        rows = self.store.read(f"{level}_data", through, self._newest)
-        mine = rows.join(series, schemas.series_keys(level), "left_semi")
+        keys = schemas.series_keys(level)
+        series = touched.select(*keys, S.slice_date(F.col("slice_start")).alias("_date"))
+        series = series.groupBy(*keys).agg(F.min("_date").alias("_date"))
+        if through is not None:
+            lagging = series.where(F.col("_date") < F.lit(through))
+            first = lagging.agg(F.min("_date")).first()[0]
+            if first is not None:
+                self._redo(level, lagging.select(*keys), first, through)
+                series = series.where(F.col("_date") >= F.lit(through))
+        series = series.select(*keys)
         start = self.store.read(f"{level}_prop")
+        rows = self.store.read(f"{level}_data", through, self._newest)
+        mine = rows.join(series, keys, "left_semi")
         found = alerts(mine, level, self.config.alerts[level], start=start)
         self.store.replace(f"{level}_notification", found, through, self._newest, owners=series)
         current = self.store.read(f"{level}_notification", through, self._newest)
@@ -154,10 +146,37 @@ class Flush:
             self.publish(alert_topics(mine_now, level, self.config.topic_prefix))
         return mine_now
 
+    def _redo(self, level: str, series: DataFrame, first, through) -> None:
+        """Alerts from ``first`` on, and stored baselines, of series that changed before the horizon."""
+        keys = schemas.series_keys(level)
+        before = self.store.read(f"{level}_data", None, first - timedelta(days=1)).join(series, keys, "left_semi")
+        since = self.store.read(f"{level}_data", first, self._newest).join(series, keys, "left_semi")
+        found = alerts(since, level, self.config.alerts[level], start=baselines(before, level))
+        self.store.replace(f"{level}_notification", found, first, self._newest, owners=series)
+        folded = before.unionByName(since.where(F.col("slice_date") < F.lit(through)))
+        self.store.upsert(f"{level}_prop", baselines(folded, level).withColumn("through", F.lit(through)))
+
     def _forecast(self, level: str, touched: DataFrame, dates) -> None:
-        """Forecast from the touched slices; only their target times of day are read."""
+        """Forecast from the touched slices, and anew from later ones that look back on them.
+
+        Only the target times of day of these are read.
+        """
         keys = schemas.slice_keys(level)
         stored = self.store.read(f"{level}_data")
+        if dates[0] < self._newest:
+            span = F.col("slice_gap") * 60
+            looked_at = touched.select(
+                *schemas.series_keys(level),
+                F.pmod(F.unix_seconds("slice_start") - AHEAD * span, F.lit(S.DAY_SECONDS)).alias("_second"),
+                F.col("slice_start").alias("_changed"),
+            )
+            first = looked_at.groupBy(*schemas.series_keys(level), "_second").agg(F.min("_changed").alias("_changed"))
+            later = self.store.read(f"{level}_data", dates[0], self._newest)
+            later = later.withColumn("_second", F.pmod(F.unix_seconds("slice_start"), F.lit(S.DAY_SECONDS)))
+            later = later.join(first, [*schemas.series_keys(level), "_second"])
+            later = later.where(F.col("slice_start") > F.col("_changed")).select(*keys)
+            touched = self.store.spool(touched.union(later).distinct(), f"forecast-{level}")
+            dates = sorted(r[0] for r in touched.select(S.slice_date(F.col("slice_start"))).distinct().collect())
         sources = self._on(dates, f"{level}_data").join(touched, keys, "left_semi")
         target = S.shift_slice(F.col("slice_start"), F.col("slice_gap"), AHEAD)
         wanted = touched.select(
@@ -172,10 +191,15 @@ class Flush:
         said = forecast_v0(history, level, sources=sources)
         self.store.upsert(f"{level}_data_forecast", said)
 
-    def _advance(self, changed: DataFrame) -> None:
-        """Fold whole days behind the watermark into the stored baselines."""
-        last = changed.agg(F.max("slice_start").alias("t")).select(
-            S.slice_date(F.timestamp_seconds(F.unix_seconds("t") - self.config.watermark_minutes * 60))
+    def _advance(self, changed: DataFrame, touched) -> None:
+        """Fold whole days behind the clocks of most devices into the stored baselines.
+
+        The day follows the middle one of the devices in the batch, so that no single clock rules.
+        """
+        clocks = changed.groupBy(*_DEVICE_IDS).agg(F.unix_seconds(F.max("slice_start")).alias("t"))
+        middle = clocks.agg(F.percentile("t", F.lit(0.5)).cast("bigint").alias("t"))
+        last = middle.select(
+            S.slice_date(F.timestamp_seconds(F.col("t") - self.config.watermark_minutes * 60))
         ).first()[0]
         _together(lambda level=level: self._fold(level, last) for level in LEVELS)
 
@@ -191,10 +215,12 @@ class Flush:
 
     def _record(self, touched, raised, batch_id: int, newest, seconds: float) -> None:
         counts = batch_metrics(touched, raised)
+        late = self._late.agg(F.coalesce(F.sum("late"), F.lit(0))).first()[0] if self._late is not None else 0
         self.store.upsert(
             "flush_metrics",
             counts.withColumns(
                 {
+                    "readings_late": F.lit(late).cast("bigint"),
                     "seconds": F.lit(seconds),
                     "batch_id": F.lit(batch_id).cast("bigint"),
                     "slice_date": F.lit(newest),
@@ -216,10 +242,8 @@ def start_flush(
     ``config.clean_tables`` empties the tables first; give a new checkpoint with it.
     """
     store.init_tables(purge=config.clean_tables)
-    # Ten hours of base slices for every device: more state than belongs on the heap.
-    store.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     writer = (
-        base_stream(readings, config)
+        device_sums(readings, config)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(Flush(store, config, **options))
@@ -246,7 +270,7 @@ def progress_rows(query) -> list[dict]:
                 "input_rows": p.numInputRows,
                 "rows_per_second": p.processedRowsPerSecond,
                 "state_rows": sum(s.numRowsTotal for s in state),
-                "dropped_late": sum(s.numRowsDroppedByWatermark for s in state),
+                "dropped_late": p.observedMetrics["slices"]["late"] if "slices" in p.observedMetrics else 0,
             }
         )
     return out
