@@ -100,7 +100,7 @@ def forecast_v3(slices: DataFrame, level: str = HOUSE) -> DataFrame:
 def forecast_v1(slices: DataFrame, level: str = HOUSE, most: int = MOST_SLICES) -> DataFrame:
     """Median of the whole series so far, exact; counted a day at a time, so a series is spread over tasks.
 
-    ``most`` bounds the slices of a series; each factor of 8 more costs another pass.
+    ``most`` bounds the slices of a series; each factor of 16 more costs another pass.
     """
     keys = schemas.series_keys(level)
     at = F.unix_seconds("slice_start").alias("_at")

@@ -47,3 +47,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     files.mkdirs(folder)
     files.deleteOnExit(folder)
     return path
+
+
+def written(df, label: str):
+    """``df`` written to a scratch folder and read back: computed once, however often it is used."""
+    path = f"{scratch_dir(df.sparkSession, label)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
