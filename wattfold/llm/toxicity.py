@@ -20,6 +20,7 @@ BUCKETS, WIDTH, HIDDEN = 1 << 15, 6, 6
 GRAMS = (4, 5)  # lengths of the character n-grams of a word between its boundary marks
 SEED = 11
 CHUNK = 1 << 21  # characters that are scored at a time
+PORTION = 1 << 20  # characters that are trained on at a time
 _WORD = re.compile(r"\w+")
 _P, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -63,7 +64,16 @@ class Batch:
     """Texts as word codes with windows; the codes index ``words``, the last of them blank."""
 
     def __init__(self, texts: list[str]):
-        split = [_WORD.findall(t.lower()) for t in texts]
+        self._hold([_WORD.findall(t.lower()) for t in texts])
+
+    @classmethod
+    def of_words(cls, split: list[list[str]]) -> Batch:
+        """Texts that are cut into words already."""
+        batch = cls.__new__(cls)
+        batch._hold(split)
+        return batch
+
+    def _hold(self, split: list[list[str]]) -> None:
         self.lengths = np.array([len(s) for s in split], np.int64)
         flat = np.empty(int(self.lengths.sum()), object)
         flat[:] = [w for s in split for w in s]
@@ -145,6 +155,13 @@ class Model:
             out.append(self.run(gates, *batch.ids(which)))
         return np.concatenate(out) if out else np.empty(0, np.float32)
 
+    def evidence(self, batch: Batch) -> np.ndarray:
+        """Sum over each window of the first dimension, which starts as log-odds."""
+        sums = np.append(np.cumsum(self.embed(batch.inputs)[batch.codes, 0]), 0.0)
+        if not len(batch.codes):
+            return np.zeros(len(batch.text))
+        return sums[batch.first + batch.size - 1] - sums[batch.first - 1]
+
     def gradient(self, batch: Batch, which: np.ndarray, label: np.ndarray) -> dict[str, np.ndarray]:
         """Mean cross-entropy gradient over the given windows."""
         h, p = HIDDEN, self.p
@@ -200,25 +217,22 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
         model.p["bias"][:] = 4.0 if len(texts) and labels.min() == 1 else -4.0
         model.p["out"][:] = 0
         return model
+    parts = _portions(texts)
     tally = {t: np.zeros((2, BUCKETS)) for t in ("word", "gram")}
-    for a in range(0, len(texts), 200):
-        _count_buckets(tally, Batch(texts[a : a + 200]), labels[a : a + 200].astype(int))
+    for a, b in parts:
+        _count_buckets(tally, Batch(texts[a:b]), labels[a:b].astype(int))
     for table, (clean, toxic) in tally.items():
         odds = np.log((toxic + 0.5) / (labels.sum() + 1)) - np.log((clean + 0.5) / (len(labels) - labels.sum() + 1))
         model.p[table][:, 0] += 0.3 * np.clip(odds * ((toxic + clean) >= 4), -1, 5)
-    batch = Batch(texts)
-    evidence = np.append(np.cumsum(model.embed(batch.inputs)[batch.codes, 0]), 0.0)
-    score = evidence[batch.first + batch.size - 1] - evidence[batch.first - 1] if len(batch.codes) else np.zeros(len(batch.text))
+    best = _worst_windows(texts, parts, model.evidence)
     first, second = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
     step = 0
     for epoch in range(EPOCHS):
-        best = np.lexsort((-score, batch.text))
-        best = best[np.searchsorted(batch.text[best], np.arange(len(texts)))]
         order = rng.permutation(len(texts))
         size = max(16, min(256, len(texts) // STEPS))
         for a in range(0, len(order), size):
             docs = order[a : a + size]
-            small = _only(batch, best[docs])
+            small = Batch.of_words([best[i] for i in docs])
             grad = model.gradient(small, np.arange(len(docs)), labels[docs])
             step += 1
             rate = 0.01 * min(1.0, 2 * (1 - epoch / EPOCHS))
@@ -228,10 +242,33 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
                 fixed = np.sqrt(second[k] / (1 - 0.99**step)) + 1e-8
                 model.p[k] -= rate * first[k] / (1 - 0.9**step) / fixed
         if epoch + 1 < EPOCHS:
-            score = model.logits(batch)
+            best = _worst_windows(texts, parts, model.logits)
     return model
 
 
+def _portions(texts: list[str]) -> list[tuple[int, int]]:
+    """Runs of texts of about ``PORTION`` characters, which are worked on one run at a time."""
+    ends, size = [0], 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= PORTION or i == len(texts):
+            ends.append(i)
+            size = 0
+    return list(zip(ends, ends[1:]))
+
+
+def _worst_windows(texts: list[str], parts: list[tuple[int, int]], score) -> list[list[str]]:
+    """The words of each text's window that scores highest; of the rest nothing is kept."""
+    out = []
+    for a, b in parts:
+        batch = Batch(texts[a:b])
+        best = np.lexsort((-score(batch), batch.text))
+        for which in best[np.searchsorted(batch.text[best], np.arange(b - a))]:
+            first = batch.first[which]
+            out.append([batch.words[c] for c in batch.codes[first : first + batch.size[which]]])
+    return out
+
+
 def _count_buckets(tally: dict[str, np.ndarray], batch: Batch, labels: np.ndarray) -> None:
     """Add the number of documents of either label that hold each bucket."""
     whole, of, gram = batch.inputs
@@ -247,18 +284,6 @@ def _count_buckets(tally: dict[str, np.ndarray], batch: Batch, labels: np.ndarra
         np.add.at(tally[table], (labels[d], b), 1)
 
 
-def _only(batch: Batch, which: np.ndarray) -> Batch:
-    """Some windows of a batch as a batch, with no more words than they hold."""
-    ids, mask = batch.ids(which)
-    used, codes = np.unique(ids[mask], return_inverse=True)
-    out = Batch.__new__(Batch)
-    out.codes, out.size = codes, batch.size[which]
-    out.words = [batch.words[i] for i in used]
-    out.first, out.text = np.cumsum(out.size) - out.size, np.arange(len(which))
-    out.inputs = word_inputs(out.words)
-    return out
-
-
 def held_out(doc_id) -> F.Column:
     """Documents never trained on: a fifth by the CRC of the id, and those without an id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
@@ -281,7 +306,8 @@ def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``score``: the chance of the most toxic window of the whole text.
 
-    All overlapping windows are scored, in chunks, so long texts need no more memory.
+    All overlapping windows are scored. Texts are worked on in chunks of about ``CHUNK``
+    characters; memory follows the longest text where one has more.
     Null and empty texts have one window without words. Repeated rows are scored alike;
     other columns pass; a column called ``score`` is replaced.
     """
