@@ -314,8 +314,7 @@ def tree_sql():
   SELECT level, node, parent,
          '[' || string_agg('{{"year":"' || text[1:4] || '","month":"' || text[6:7] || '","day":"' || text[9:10]
            || '","text":"' || text || '"}}', ',' ORDER BY text) || ']' AS dates
-  FROM ({three_levels(node)}) GROUP BY level, node, parent""",
-        gaps=(120,),
+  FROM ({three_levels(node)}) GROUP BY level, node, parent"""
     )
 
 
@@ -324,8 +323,7 @@ def dates_sql(level):
     return sql(
         f"""
   SELECT DISTINCT {cols(level)}, strftime({stamp}, '%Y') AS year, strftime({stamp}, '%m') AS month,
-         strftime({stamp}, '%d') AS day, {SLASH} AS date_text FROM {level}""",
-        gaps=(120,),
+         strftime({stamp}, '%d') AS day, {SLASH} AS date_text FROM {level}"""
     )
 
 
@@ -353,6 +351,7 @@ def build() -> dict[str, str]:
         "|| house_id AS message FROM readings WHERE property <> 1",
         "load_only": decoded,
         "ingest_stream": decoded,
+        "ingest_feed_stream": plain + f"SELECT {TOPIC} AS topic, {READING} FROM readings",
         "union_topics": plain + f"SELECT {TOPIC} AS topic, {READING} FROM readings",
         "ingest_rate": plain
         + f"""SELECT {TOPIC} AS topic, timestamp // 10 * 10 AS interval_start, count(*) AS total,
@@ -386,8 +385,7 @@ def build() -> dict[str, str]:
         "entity_keys": sql(
             "SELECT house_id || '-' || household_id || '-' || device_id AS device_key, "
             "house_id || '-' || household_id AS household_key, house_id::VARCHAR AS house_key, "
-            f"house_id || '-' || household_id || '-' || device_id || '-' || {SLICE_ID} AS device_slice_key FROM device",
-            gaps=(60,),
+            f"house_id || '-' || household_id || '-' || device_id || '-' || {SLICE_ID} AS device_slice_key FROM device"
         ),
         "device_slices": sql(f"SELECT {DEVICE_OUT} FROM device"),
         "device_slices_stream": sql(f"SELECT {DEVICE_OUT} FROM device", gaps=STORED),

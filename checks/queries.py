@@ -18,6 +18,7 @@ from wattfold.plans import reads, records
 from wattfold.session import scratch_dir, utc
 from wattfold.sinks.tables import TableStore, load_baselines
 from wattfold.sources import readings as R
+from wattfold.sources.feed import publish_segments, stream_feed
 from wattfold.streaming.device_clock import device_sums
 from wattfold.streaming.flush import run_flush
 
@@ -113,6 +114,27 @@ def ingest_stream(spark, sf_dir):
     return spark.read.schema(schemas.READING).parquet(f"{folder}/table").select(*READING)
 
 
+def ingest_feed_stream(spark, sf_dir):
+    """Messages of two topics through the feed source; the job stops in mid-feed and starts again."""
+    folder = scratch_dir(utc(spark), "feed")
+    rows = by_topic(spark, sf_dir)
+    parts = (rows.where(F.col("id") % 2 == 0), rows.where(F.col("id") % 2 == 1))
+    for part in parts:
+        encoded = part.select("topic", F.concat_ws(",", *READING).alias("value"))
+        landing = scratch_dir(spark, "landing")
+        encoded.write.partitionBy("topic").text(f"{landing}/out")
+        publish_segments(spark, f"{landing}/out", f"{folder}/feed")
+        decoded = R.decode_readings(stream_feed(spark, f"{folder}/feed")).select("topic", *READING)
+        query = (
+            decoded.writeStream.format("parquet")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start(f"{folder}/table")
+        )
+        query.awaitTermination()
+    return spark.read.schema(decoded.schema).parquet(f"{folder}/table")
+
+
 def ingest_rate(spark, sf_dir):
     rates = ingest.ingest_rate(by_topic(spark, sf_dir))
     return rates.select(
@@ -206,7 +228,7 @@ def next_slice(spark, sf_dir):
 
 def entity_keys(spark, sf_dir):
     ids = [F.col(c) for c in schemas.ids(DEVICE)]
-    device = level_slices(spark, sf_dir, DEVICE, (60,))
+    device = level_slices(spark, sf_dir, DEVICE)
     slice_key = S.slice_id(F.col("slice_date"), F.col("slice_index"), F.col("slice_gap"))
     return device.select(
         S.entity_key(*ids).alias("device_key"),
@@ -430,11 +452,11 @@ def meta_gaps(spark, sf_dir):
 
 
 def meta_dates(spark, sf_dir, level):
-    return topology.meta_dates(level_slices(spark, sf_dir, level, (120,)), level)
+    return topology.meta_dates(level_slices(spark, sf_dir, level), level)
 
 
 def meta_tree(spark, sf_dir):
-    tree = topology.meta_tree(level_slices(spark, sf_dir, DEVICE, (120,)))
+    tree = topology.meta_tree(level_slices(spark, sf_dir, DEVICE))
     return tree.withColumn("dates", F.to_json("dates"))
 
 
@@ -562,6 +584,7 @@ def build() -> dict:
         "load_only": load_only,
         "union_topics": union_topics,
         "ingest_stream": ingest_stream,
+        "ingest_feed_stream": ingest_feed_stream,
         "ingest_rate": ingest_rate,
         "ingest_rollup": ingest_rollup,
         "assign_slice": assign_slice,
