@@ -358,15 +358,22 @@ def build() -> dict[str, str]:
   count(*) FILTER (property = 1) AS load, {r('count(*) / 10', 'total_speed')},
   {r('count(*) FILTER (property = 1) / 10', 'load_speed')} FROM readings GROUP BY 1, 2""",
         "ingest_rollup": plain
-        + f""", t AS (
-  SELECT {TOPIC} AS topic, timestamp // 10 * 10 AS i, count(*) AS total, count(*) FILTER (property = 1) AS load
-  FROM readings GROUP BY 1, 2),
+        + f""", m AS (
+  SELECT *, {TOPIC} AS topic, timestamp > (SELECT max(timestamp) FROM readings) - 86400 AS waits FROM readings),
+ t AS (
+  SELECT topic, timestamp // 10 * 10 AS i, count(*) AS total, count(*) FILTER (property = 1) AS load
+  FROM m WHERE NOT waits AND id % 5 <> 0 GROUP BY 1, 2),
  f AS (
-  SELECT topic, max(i) >= (SELECT max(timestamp) FROM readings) - 3600 AS connect, arg_max(total, i) / 10 AS ts,
-         arg_max(load, i) / 10 AS ls, sum(total)::BIGINT AS total, sum(load)::BIGINT AS load FROM t GROUP BY topic)
- SELECT bool_and(connect) AS connect, {r('sum(ts)', 'total_speed')}, {r('sum(ls)', 'load_speed')},
-   sum(total)::BIGINT AS total, sum(load)::BIGINT AS load, 0::BIGINT AS queue, sum(total)::BIGINT AS success,
-   0::BIGINT AS fail FROM f""",
+  SELECT topic, max(i) >= (SELECT max(timestamp) FROM m WHERE NOT waits AND id % 5 <> 0) - 3600 AS connect,
+         arg_max(total, i) / 10 AS ts, arg_max(load, i) / 10 AS ls, sum(load)::BIGINT AS load FROM t GROUP BY topic),
+ c AS (
+  SELECT topic, count(*) FILTER (NOT waits) AS total, count(*) FILTER (waits) AS queue,
+         count(*) FILTER (NOT waits AND id % 5 <> 0) AS success, count(*) FILTER (NOT waits AND id % 5 = 0) AS fail
+  FROM m GROUP BY topic)
+ SELECT bool_and(coalesce(connect, false)) AS connect, {r('sum(coalesce(ts, 0))', 'total_speed')},
+   {r('sum(coalesce(ls, 0))', 'load_speed')}, sum(total)::BIGINT AS total, sum(coalesce(load, 0))::BIGINT AS load,
+   sum(queue)::BIGINT AS queue, sum(success)::BIGINT AS success, sum(fail)::BIGINT AS fail
+ FROM c LEFT JOIN f USING (topic)""",
         "assign_slice": plain
         + f"SELECT id, 15::INTEGER AS slice_gap, {date('timestamp')} AS slice_date, "
         f"{index('timestamp', '15')} AS slice_index FROM readings",
@@ -531,6 +538,7 @@ def build() -> dict[str, str]:
             f"SELECT version, {ids}, {PARTS}, {r('avg', 'avg')} FROM said", forecast_cte(level)
         )
         q[f"upsert_alerts_{level}"] = q[f"alerts_stream_{level}"] = q[f"alerts_{level}"]
+    q["score_job"] = q["forecast_score"]
     q["upsert_scores_all_gaps"] = sql(score_sql(("v0",)), forecast_cte("house", "said_v0"))
     q["device_slices_stream_all_gaps"] = q["device_slices"]
     q["alert_topics_all_gaps"] = topics_sql(DEFAULT_GAPS)

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
-from wattfold.operators.ingest import ingest_rate, ingest_rollup, ingest_snapshots
+from wattfold import schemas
+from wattfold.operators.ingest import ingest_counts, ingest_rate, ingest_rollup, ingest_snapshots
 from wattfold.sources.readings import decode_readings, encode_readings, load_only, quarantine, union_topics
 
 LINES = [
@@ -90,6 +91,15 @@ def test_rollup_is_connected_only_if_all_feeds_are(readings):
     new = readings(("2024-01-01T06:00:00", 1), ("2024-01-01T06:00:01", 1))
     now = F.lit("2024-01-01 06:00:05").cast("timestamp")
     both = union_topics({"old": old, "new": new})
-    row = ingest_rollup(ingest_snapshots(both, now)).first()
+    counts = ingest_counts(encode_feeds(both).withColumn("value", F.expr("if(topic = 'old', concat(value, 'x'), value)")))
+    assert {tuple(r) for r in counts.collect()} == {("old", 1, 0, 1), ("new", 2, 2, 0)}
+    queued = counts.select(F.lit("idle").alias("topic"), F.lit(7).alias("queue")).limit(1)
+    row = ingest_rollup(ingest_snapshots(both, counts, now, queued)).first()
     assert (row.connect, row.total, row.load, row.total_speed) == (False, 3, 3, 0.1 + 0.2)
-    assert ingest_rollup(ingest_snapshots(union_topics({"new": new}), now)).first().connect
+    assert (row.queue, row.success, row.fail) == (7, 2, 1)
+    only = union_topics({"new": new})
+    assert ingest_rollup(ingest_snapshots(only, ingest_counts(encode_feeds(only)), now)).first().connect
+
+
+def encode_feeds(rows):
+    return rows.select("topic", F.concat_ws(",", *schemas.READING.names).alias("value"))

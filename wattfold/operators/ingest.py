@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wattfold import schemas
-from wattfold.sources.readings import LOAD
+from wattfold.sources.readings import LOAD, decoded_with_fault
 
 INTERVAL_SECONDS = 10
 
@@ -31,30 +31,55 @@ def ingest_rate(readings: DataFrame, interval: int = INTERVAL_SECONDS) -> DataFr
     )
 
 
-def ingest_snapshots(readings: DataFrame, now: Column, idle_seconds: int = 3600) -> DataFrame:
+def ingest_counts(messages: DataFrame, text: str = "value") -> DataFrame:
+    """Per topic of CSV messages: how many came, how many could be used and how many not.
+
+    One grouped pass; the counts of several deliveries add up.
+    """
+    tested = decoded_with_fault(messages, text)
+    return tested.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("reason").isNull()).alias("success"),
+        F.count_if(F.col("reason").isNotNull()).alias("fail"),
+    )
+
+
+def ingest_snapshots(
+    readings: DataFrame,
+    counts: DataFrame,
+    now: Column,
+    queued: DataFrame | None = None,
+    idle_seconds: int = 3600,
+) -> DataFrame:
     """The newest state of each feed as a JSON message.
 
-    A feed counts as connected if it delivered within ``idle_seconds`` of ``now``; speeds
-    are those of its last interval.
+    ``readings`` are the usable ones with their ``topic``, ``counts`` come from
+    ``ingest_counts``, and ``queued`` may give per ``topic`` the messages of the feed not yet
+    taken (``queue``). A feed counts as connected if a usable reading of it lies within
+    ``idle_seconds`` of ``now``; speeds are those of its last interval.
     """
     newest = ingest_rate(readings).groupBy("topic").agg(
         F.max_by(F.struct("total_speed", "load_speed"), "interval_start").alias("speed"),
         F.max("interval_start").alias("last"),
-        F.sum("total").alias("total"),
         F.sum("load").alias("load"),
     )
+    known = counts.join(newest, "topic", "left")
+    if queued is not None:
+        known = known.join(queued.select("topic", "queue"), "topic", "full")
+    queue = F.col("queue") if queued is not None else F.lit(None).cast("bigint")
+    none = F.lit(0).cast("bigint")
     state = F.struct(
         F.col("topic").alias("name"),
-        (F.unix_seconds("last") >= F.unix_seconds(now) - idle_seconds).alias("connect"),
-        F.col("speed.total_speed").alias("totalSpeed"),
-        F.col("speed.load_speed").alias("loadSpeed"),
-        F.col("total"),
-        F.col("load"),
-        F.lit(0).alias("queue"),
-        F.col("total").alias("success"),
-        F.lit(0).alias("fail"),
+        F.coalesce(F.unix_seconds("last") >= F.unix_seconds(now) - idle_seconds, F.lit(False)).alias("connect"),
+        F.coalesce("speed.total_speed", F.lit(0.0)).alias("totalSpeed"),
+        F.coalesce("speed.load_speed", F.lit(0.0)).alias("loadSpeed"),
+        F.coalesce("total", none).alias("total"),
+        F.coalesce("load", none).alias("load"),
+        F.coalesce(queue, none).alias("queue"),
+        F.coalesce("success", none).alias("success"),
+        F.coalesce("fail", none).alias("fail"),
     )
-    return newest.select("topic", F.to_json(state).alias("value"))
+    return known.select("topic", F.to_json(state).alias("value"))
 
 
 def ingest_rollup(snapshots: DataFrame, text: str = "value") -> DataFrame:

@@ -151,6 +151,22 @@ def _tables() -> dict[str, Table]:
         ["slice_gap", "version"],
         ["version"],
     )
+    # What a day adds to a score, from which scores of all days are merged.
+    add(
+        "forecast_moments",
+        [
+            T.StructField("slice_gap", T.IntegerType(), False),
+            T.StructField("forecasts", T.LongType()),
+            T.StructField("count", T.LongType()),
+            *_doubles("mean", "squares"),
+            T.StructField("pairs", T.LongType()),
+            *_doubles("error"),
+            T.StructField("version", T.StringType(), False),
+            T.StructField("slice_date", T.DateType(), False),
+        ],
+        ["slice_gap", "version", "slice_date"],
+        ["slice_date"],
+    )
     add(
         "flush_metrics",
         [

@@ -82,6 +82,12 @@ def quarantine(lines: DataFrame, text: str = "value", arrival: str | bool | None
     return bad.where(F.col("reason").isNotNull()).select(*rest, F.col("_message").alias(text), "reason")
 
 
+def decoded_with_fault(lines: DataFrame, text: str = "value", arrival: str | bool | None = None) -> DataFrame:
+    """Every message decoded as far as it goes, with the ``reason`` it cannot be used, null if it can."""
+    source = lines.withColumnRenamed(text, "_message")
+    return _decoded(source, "_message").withColumn("reason", fault(_arrival(lines, arrival))).drop("_message")
+
+
 def encode_readings(readings: DataFrame, text: str = "value") -> DataFrame:
     """Readings back to CSV messages."""
     return readings.select(
