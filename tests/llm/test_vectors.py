@@ -76,3 +76,30 @@ def test_neighbours_recall_and_distances(spark):
     assert len(got) == 300 and len(hits) >= 0.9 * 300
     assert all(r.score == pytest.approx(pairs[r.query_id, r.vec_id]) for r in got if (r.query_id, r.vec_id) in pairs)
     assert [r.vec_id for r in sorted(got) if r.query_id == 100] == list(range(101, 111))
+
+
+def recall(ids, matrix, asked, k=10):
+    index, hits = collision.SortedProjections(ids, matrix), 0
+    for q in asked:
+        dist = np.sqrt(((matrix - matrix[list(ids).index(q)]) ** 2).sum(axis=1))
+        dist[ids == q] = np.inf
+        found, score = index.ask(q, matrix[list(ids).index(q)], k, None)
+        hits += len({*ids[np.lexsort((ids, dist))[:k]]} & {*found[np.lexsort((found, score))[:k]]})
+    return hits / (k * len(asked))
+
+
+@pytest.mark.parametrize("dimensions", [64, 256, 768])
+def test_recall_in_any_dimension(dimensions):
+    ids = np.arange(3000)
+    assert recall(ids, np.random.default_rng(2).standard_normal((3000, dimensions)), range(0, 3000, 200)) >= 0.9
+
+
+def test_recall_of_the_query(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids, matrix = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
+    want = brute(ids, matrix, [i for i in ids if i % 100 == 0], 10, lambda m, q: np.sqrt(((m - q) ** 2).sum(1)), False)
+    found = registry.op5_collision_neighbours(spark, folder)
+    assert dict(found.dtypes) == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"}
+    got = {(r["query_id"], r["vec_id"]) for r in found.collect()}
+    assert len(got) == len(want) and len(got & {(q, v) for q, _, v, _ in want}) >= 0.9 * len(want)
