@@ -351,6 +351,7 @@ def build() -> dict[str, str]:
         "|| house_id AS message FROM readings WHERE property <> 1",
         "load_only": decoded,
         "ingest_stream": decoded,
+        "drop_repeats_stream": decoded,
         "ingest_feed_stream": plain + f"SELECT {TOPIC} AS topic, {READING} FROM readings",
         "union_topics": plain + f"SELECT {TOPIC} AS topic, {READING} FROM readings",
         "ingest_rate": plain

@@ -116,6 +116,23 @@ def ingest_stream(spark, sf_dir):
     return spark.read.schema(schemas.READING).parquet(f"{folder}/table").select(*READING)
 
 
+def drop_repeats_stream(spark, sf_dir):
+    """Every message comes twice, in one delivery; one copy an id stays."""
+    folder = scratch_dir(utc(spark), "repeats")
+    for _ in range(2):
+        messages(spark, sf_dir).write.mode("append").text(f"{folder}/feed")
+    decoded = R.decode_readings(R.stream_messages(spark, f"{folder}/feed"))
+    query = (
+        R.drop_repeats(decoded, EngineConfig().watermark_minutes).select(*READING)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{folder}/table")
+    )
+    query.awaitTermination()
+    return spark.read.schema(schemas.READING).parquet(f"{folder}/table").select(*READING)
+
+
 def ingest_feed_stream(spark, sf_dir):
     """Messages of two topics through the feed source; the job stops in mid-feed and starts again."""
     folder = scratch_dir(utc(spark), "feed")
@@ -615,6 +632,7 @@ def build() -> dict:
         "union_topics": union_topics,
         "ingest_stream": ingest_stream,
         "ingest_feed_stream": ingest_feed_stream,
+        "drop_repeats_stream": drop_repeats_stream,
         "ingest_rate": ingest_rate,
         "ingest_rollup": ingest_rollup,
         "assign_slice": assign_slice,
