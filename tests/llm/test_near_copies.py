@@ -144,6 +144,36 @@ def test_line_dedup_of_nothing_and_repeats(spark):
     assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, ""), (1, "Some  line"), (1, "Some  line"), (2, "other")]
 
 
+def test_line_dedup_with_text_ids_and_clashing_columns(spark):
+    names = "doc_id string, text string, doc int, text_hash string, __text string, cid int, band string, n int"
+    rows = [("b", "some line\nanother", 1, "x", "y", 2, "z", 3), ("a", "Some  line", 4, None, "y", 5, "z", 6)]
+    got = lines.dedup_lines(spark.createDataFrame(rows, names)).orderBy("doc_id").collect()
+    assert [(r.doc_id, r.text, r.doc, r.text_hash, r["__text"], r.cid, r.n) for r in got] == [
+        ("a", "Some  line", 4, None, "y", 5, 6), ("b", "another", 1, "x", "y", 2, 3)
+    ]
+
+
+def test_line_maps_lose_no_link(spark):
+    """Whatever the maps rule out is no link, also for lines that repeat shingles or are very long."""
+    draw = random.Random(9)
+    texts = []
+    for size in [12, 40, 90, 200, 400, 900, 5000] * 4:
+        base = "".join(draw.choice("abcde ") for _ in range(size))
+        texts.append(base)
+        for edits in (1, 2, 4, 8):
+            cut = list(base)
+            for _ in range(edits):
+                cut[draw.randrange(size)] = draw.choice("xyz")
+            texts.append("".join(cut))
+    texts += ["ab" * 300, "ab" * 200, "q"]
+    maps = lines._maps(spark.createDataFrame(list(enumerate(texts)), "cid bigint, clean string")).cache()
+    pairs = [(i, j) for i in range(len(texts)) for j in range(max(0, i - 4), i)]
+    passed = {(r.a, r.b) for r in lines._alike(spark.createDataFrame(pairs, "a bigint, b bigint"), maps).collect()}
+    sets = [frozenset(t[k : k + 10] for k in range(max(1, len(t) - 9))) for t in texts]
+    links = {(i, j) for i, j in pairs if similar(sets[i], sets[j])}
+    assert links and links <= passed and len(passed) < len(pairs)
+
+
 def test_lines_use_no_python(spark):
     docs = spark.createDataFrame([(1, "a line"), (2, "a line")], "doc_id bigint, text string")
     plan = lines.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
