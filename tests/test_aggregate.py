@@ -85,3 +85,36 @@ def test_stale_needs_house_and_household_idle(readings):
     now = F.lit("2024-01-01 00:06:30").cast("timestamp")
     got = A.stale_slices(rows, now, (1, 60)).collect()
     assert [(r.slice_gap, r.slice_index) for r in got] == [(1, 0)]
+
+
+def test_rollup_holds_no_table_of_slices(spark, small_readings):
+    """After the one exchange the widths are read off a sorted walk, not gathered in a hash table."""
+    rolled = A.rollup_base(A.base_slices(small_readings))
+    plan = rolled._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Exchange")]
+    assert "Window" in above and "Aggregate" not in above
+
+
+def test_rollup_of_full_blocks_adds_up(spark):
+    """Gapless, negative and repeated base slices, widths that do not nest, over a day's end."""
+    import random
+    from collections import defaultdict
+    from decimal import Decimal
+
+    draw = random.Random(5)
+    start = 1704067200 + 22 * 3600
+    rows = [(0, 0, d, start + 60 * m, Decimal(draw.randrange(-10**9, 10**13)).scaleb(-6), draw.randrange(1, 9)) for d in range(2) for m in range(250)]
+    rows += rows[:40]
+    base = spark.createDataFrame(rows, "house_id int, household_id int, device_id int, at bigint, total decimal(38,15), count bigint")
+    base = base.withColumn("slice_start", F.timestamp_seconds("at")).drop("at").repartition(3)
+    gaps = (1, 15, 20, 45)
+    want = defaultdict(lambda: [Decimal(0), 0])
+    for _, _, device, at, total, n in rows:
+        for gap in gaps:
+            have = want[device, gap, at - at % (gap * 60)]
+            have[0], have[1] = have[0] + total, have[1] + n
+    got = A.rollup_base(base, gaps).withColumn("at", F.unix_seconds("slice_start")).collect()
+    assert {(r.device_id, r.slice_gap, r["at"]): (r.value, r["count"]) for r in got} == {
+        k: (float(total), n) for k, (total, n) in want.items()
+    }
+    assert len(got) == len(want)
