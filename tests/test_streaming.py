@@ -270,6 +270,49 @@ def test_a_silent_device_is_closed(monkeypatch):
     assert out["late"].tolist() == [0, 1, 1]  # what was stored is not started anew
 
 
+def test_only_open_slices_reach_the_state():
+    """Of a day in one delivery, ten minutes and the one they began in are kept; what comes out does not change."""
+    import pandas as pd
+
+    from wattfold.streaming.device_clock import DeviceClock
+
+    class Map(dict):
+        updates = 0
+        getValue = dict.get
+        removeKey = dict.pop
+
+        def updateValue(self, key, value):
+            self.updates += 1
+            self[key] = value
+
+    class Handle:
+        held = None
+        getValueState = lambda self, *_: self
+        getMapState = lambda self, *_: Map()
+        exists = lambda self: self.held is not None
+        get = lambda self: self.held
+        registerTimer = lambda self, at: None
+
+        def update(self, value):
+            self.held = value
+
+    def given(*seconds):
+        starts = [s // 60 * 60 for s in seconds]
+        heard = pd.Timestamp(0, unit="ms", tz="UTC")
+        return iter([pd.DataFrame({"timestamp": seconds, "start": starts, "whole": 2, "part": 7, "heard": heard})])
+
+    clock = DeviceClock(1, 10, 30)
+    clock.init(Handle())
+    out = pd.concat(clock.handleInputRows((1, 2, 3), given(*range(0, 86400, 60)), None))
+    assert len(out) == 1440 and out["late"].sum() == 0
+    assert clock.open.updates == len(clock.open) == 11
+    # The next one adds to what is open, closes more of it, and is late for what was closed.
+    out = pd.concat(clock.handleInputRows((1, 2, 3), given(85000, 86000, 86459, 87000), None))
+    on_time = out[out["late"] == 0]
+    assert dict(zip((at.timestamp() for at in on_time["slice_start"]), on_time["count"])) == {85980: 2, 86400: 1, 87000: 1}
+    assert out["late"].sum() == 1 and sorted(k[0] for k in clock.open) == [86400, 87000]
+
+
 def test_repeats_count_unless_dropped(spark, readings, tmp_path):
     from wattfold.sources.readings import drop_repeats
     from wattfold.streaming.device_clock import device_sums
