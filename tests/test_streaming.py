@@ -70,6 +70,21 @@ def test_stream_leaves_what_batch_computes(spark, small_readings, tmp_path):
     assert metrics.where("slices_saved > 0 AND seconds > 0").count() == len(CONFIG.gaps)
 
 
+def test_first_forecasts_join_no_slice_with_its_past(spark, small_readings, tmp_path, monkeypatch):
+    from wattfold.operators import forecast
+
+    def joined(*_):
+        raise AssertionError("joined")
+
+    monkeypatch.setattr(forecast, "_median_of_joined", joined)
+    part = small_readings.where(F.col("timestamp") < 1704067200 + 4 * 86400)
+    store = TableStore(spark, str(tmp_path / "tables"))
+    Flush(store, CONFIG, with_alerts=False)(aggregate.base_slices(part, 60), 0)
+    for level in LEVELS:
+        want = forecast_v0(aggregate.level_slices(part, level, CONFIG.gaps), level).drop("source_start", "median", "history")
+        assert same(store.read(f"{level}_data_forecast"), want), level
+
+
 def test_a_repeated_batch_changes_nothing(spark, small_readings, tmp_path):
     part = small_readings.where(F.col("timestamp") < 1704067200 + 3 * 86400)
     changed = aggregate.base_slices(part, 60)
