@@ -1,6 +1,8 @@
 """Toxicity model, page text and source mixing."""
 
+import os
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -69,6 +71,17 @@ def test_without_labels_or_rows(spark):
     assert toxicity.score(docs.where("false"), model).count() == 0
 
 
+def test_training_is_left_to_a_task(spark, monkeypatch):
+    """Neither the texts nor the work on them are the driver's."""
+    monkeypatch.setattr(toxicity, "fit", lambda texts, labels: SimpleNamespace(p=(os.getpid(), texts, labels.tolist())))
+    docs = spark.createDataFrame([(4, "b"), (1, "c"), (1, "a"), (2, None), (9, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (4, None), (7, 1)], "doc_id bigint, toxic int")
+    pid, texts, marks = toxicity.train(docs, labels.unionAll(labels)).p
+    trained = [r.doc_id for r in docs.where(~toxicity.held_out(F.col("doc_id")) & F.col("doc_id").isin(1, 2)).select("doc_id").distinct().orderBy("doc_id").collect()]
+    assert pid != os.getpid() and trained
+    assert list(zip(texts, marks)) == [{1: ("a", 1.0), 2: ("", 0.0)}[i] for i in trained]
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

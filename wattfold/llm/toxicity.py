@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -292,15 +293,30 @@ def held_out(doc_id) -> F.Column:
 def train(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCS) -> Model:
     """Fit on at most ``bound`` labelled documents that are not held out, drawn by hash of the id.
 
-    Documents with contradicting labels count as toxic; null labels are left out.
+    Documents with contradicting labels count as toxic; null labels are left out. One task
+    fits on the drawn documents; only the fitted parameters reach the driver.
     """
     known = labels.where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # Ids are drawn from the labels alone; only then are the drawn texts read.
-    drawn = dict(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).select("doc_id", "toxic").collect())
-    texts = docs.where(F.col("doc_id").isin(list(drawn))) if drawn else docs.where(F.lit(False))
-    rows = texts.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).orderBy("doc_id").collect()
-    return fit([r["text"] for r in rows], np.array([float(drawn[r["doc_id"]]) for r in rows]))
+    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound).select("doc_id", F.col("toxic").cast("double"))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(drawn), "doc_id")
+    rows = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, labels = [], []
+        for batch in batches:
+            texts += batch.column("text").to_pylist()
+            labels += batch.column("toxic").to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(texts, np.array(labels)).p)])], names=["fitted"])
+
+    placed = rows.repartition(1).sortWithinPartitions("doc_id").select("text", "toxic")
+    fitted = placed.mapInArrow(run, "fitted binary").collect()
+    if not fitted:
+        return fit([], np.empty(0))
+    model = Model.__new__(Model)
+    model.p = pickle.loads(fitted[0]["fitted"])
+    return model
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True) -> DataFrame:
