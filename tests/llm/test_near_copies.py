@@ -174,6 +174,27 @@ def test_line_maps_lose_no_link(spark):
     assert links and links <= passed and len(passed) < len(pairs)
 
 
+def test_line_pairs_are_compared_in_generated_code(spark, monkeypatch):
+    """A function called shingle by shingle would leave generated code."""
+    draw, plans, stash = random.Random(3), [], lines.stash
+    texts = ["".join(draw.choice("abcde ") for _ in range(n)) for n in (5, 12, 60, 300)]
+    texts += [t[:-1] + "x" for t in texts] + [t + "yz" for t in texts] + [t[::-1] for t in texts]
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stash(df, label)
+
+    monkeypatch.setattr(lines, "stash", noted)
+    monkeypatch.setattr(lines, "PAIRS", 20)
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    found = lines._verified(
+        spark.createDataFrame(pairs, "a bigint, b bigint"), spark.createDataFrame(list(enumerate(texts)), "cid bigint, clean string")
+    )
+    sets = [frozenset(t[k : k + 10] for k in range(max(1, len(t) - 9))) for t in texts]
+    assert {(r.a, r.b) for r in found.collect()} == {(i, j) for i, j in pairs if similar(sets[i], sets[j])}
+    assert plans and not any("lambda" in plan for plan in plans)
+
+
 def test_lines_use_no_python(spark):
     docs = spark.createDataFrame([(1, "a line"), (2, "a line")], "doc_id bigint, text string")
     plan = lines.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
