@@ -2,6 +2,7 @@
 
 import random
 import re
+from itertools import combinations
 
 import pytest
 
@@ -90,6 +91,33 @@ def test_join_matches_brute_force(spark, monkeypatch, seed, common):
         assert kept == {i for i in range(len(texts)) if want.find(i) == i}
 
 
+def test_join_rules_out_pairs_of_texts_made_of_shared_passages(spark, monkeypatch):
+    """Texts that share some of their passages meet in many columns, yet few pairs go on, and no link is lost."""
+    draw, tried = random.Random(6), []
+    passages = [" ".join(f"p{i}w{j}" for j in range(12)) for i in range(9)]
+    texts = [" ".join(chosen) for chosen in combinations(passages, 5)]
+    texts += [t + " more" for t in draw.sample(texts, 10)]
+    monkeypatch.setattr(jaccard, "COMMON", 3)
+    stash = jaccard.stash
+
+    def noted(df, label):
+        out = stash(df, label)
+        if label == "more-pairs":
+            tried.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stash", noted)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in jaccard.join_components(table).collect()}
+    sets, want = [shingles(t) for t in texts], Sets(len(texts))
+    for i in range(len(sets)):
+        for j in range(i):
+            if similar(sets[i], sets[j]):
+                want.join(i, j)
+    assert got == {i: want.find(i) for i in range(len(texts))}
+    assert tried[-1] < len(texts), tried
+
+
 def test_join_of_nothing_null_ids_and_repeats(spark):
     schema = "doc_id bigint, text string"
     assert jaccard.join_components(spark.createDataFrame([], schema)).count() == 0

@@ -14,6 +14,7 @@ SHINGLE = 5
 PERCENT = 80  # two sets link when 100 * intersection >= PERCENT * union
 COMMON = 32  # an n-gram in more windows than this is left to the second product
 LEADERS = 2  # rounds in which a column's rows are compared with one of them
+MAP_WORDS = 16  # 64-bit words of a row's map of columns
 FILTER_WORDS = 1 << 17  # 64-bit words of the broadcast filter: 1 MB at most
 
 
@@ -62,6 +63,24 @@ def _sizes_fit() -> F.Column:
     return 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
 
 
+def _maps(sets: DataFrame) -> DataFrame:
+    """``cid, w0, w1, ...``: the bits that a row's columns set."""
+    rows = sets.select("cid", F.explode("grams").alias("gram"))
+    word, bit = F.expr(f"pmod(shiftright(gram, 6), {MAP_WORDS})"), F.expr("shiftleft(1L, cast(gram & 63 as int))")
+    bits = [F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"w{i}") for i in range(MAP_WORDS)]
+    return rows.groupBy("cid").agg(*bits)
+
+
+def _may_link() -> F.Column:
+    """Whether two rows' maps leave room for a link, also if one has none; no link is lost by it.
+
+    Similar rows differ in at most a share of their sizes' sum, and maps that differ in more
+    bits prove that the rows differ in more columns.
+    """
+    apart = sum(F.bit_count(F.col(f"w{i}_a").bitwiseXOR(F.col(f"w{i}_b"))) for i in range(MAP_WORDS))
+    return F.coalesce(apart * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT), F.lit(True))
+
+
 def _side(rows: DataFrame, side: str) -> DataFrame:
     return rows.select(*[F.col(c).alias(c if c == "gram" else f"{c}_{side}") for c in rows.columns])
 
@@ -112,8 +131,9 @@ def link_classes(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Da
     Rows with too few such columns (members of large groups of near copies, texts made of
     passages that many share) are expanded in full and take the first columns of the common
     order. A second product pairs them column by column with one leader each, joins what
-    is similar, and then tests all pairs whose components still differ. So a large group
-    costs about its size, while no link between components is lost.
+    is similar, and then tests all pairs whose components still differ, unless bit maps of their
+    columns prove that they are no link. So a large group costs about its size, while no
+    link between components is lost.
     """
     window = lambda n: _prefix(n) + F.ceil(n * 0.05) + 2
     sets = _keyed(shingle_sets(docs.select(F.col(f"`{text_col}`").alias("text"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("probe")), "text"))
@@ -232,10 +252,13 @@ def _second_product(docs, text_col, info, entries, common, first_pairs, whole, r
         roots = merged(roots, found)
     # Similar rows meet in the first column they share, and before it neither has one of the other's.
     most = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    # Maps are compared inside the join, so only pairs worth a look at their whole rows leave it.
+    mapped = placed.join(_maps(whole.join(full, "cid", "left_semi")), "cid", "left")
+    mapped = stash(mapped, "mapped-columns")
     cross = (
-        _side(placed.where("full"), "a")
-        .join(_side(placed, "b"), "gram")
-        .where((F.col("root_a") != F.col("root_b")) & _sizes_fit() & _similar(most))
+        _side(mapped.where("full"), "a")
+        .join(_side(mapped, "b"), "gram")
+        .where((F.col("root_a") != F.col("root_b")) & _sizes_fit() & _similar(most) & _may_link())
         .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"), "n_a", "n_b")
     )
     found = stash(tested(cross, done)[0], "links")
