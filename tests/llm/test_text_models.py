@@ -201,3 +201,21 @@ def test_mixing_of_nothing_and_nulls(spark):
     assert mixing.mix(spark.createDataFrame([], schema)).count() == 0
     got = mixing.mix(spark.createDataFrame([(None, None, None, None, 1), (1, "a", "b", "", 1)], schema)).collect()
     assert [(r.tokens, r.topic, r.probability) for r in got] == [(0, "empty", 1.0)] * 2 and all(r.kept for r in got)
+
+
+def test_raking_few_cells_needs_no_exchange(spark, monkeypatch):
+    """Every exchange holds a thread of the driver for a minute; the wider way gives the same weights."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plans, stash = [], mixing.stash
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stash(df, label)
+
+    monkeypatch.setattr(mixing, "stash", noted)
+    rate = lambda: {r.doc_id: (r.topic, r.tokens, r.kept, round(r.probability, 9)) for r in mixing.mix(docs).collect()}
+    few = rate()
+    assert sum(plan.count("Exchange") for plan in plans) < 5  # however many passes
+    plans.clear()
+    monkeypatch.setattr(mixing, "FEW", 0)
+    assert rate() == few and sum(plan.count("Exchange") for plan in plans) > 30
