@@ -227,3 +227,32 @@ def test_lines_use_no_python(spark):
     docs = spark.createDataFrame([(1, "a line"), (2, "a line")], "doc_id bigint, text string")
     plan = lines.dedup_lines(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_line_variants_are_compared_once_a_turn(spark, monkeypatch):
+    """However many buckets a line meets others in, a turn or round compares one pair of it; no link is lost."""
+    draw, compared, verified = random.Random(8), [], lines._verified
+    base = [draw.choice("abcdefgh ") for _ in range(140)]
+    texts = []
+    for _ in range(70):
+        cut = list(base)
+        for _ in range(draw.randrange(1, 4)):
+            cut[draw.randrange(1, 139)] = draw.choice("xyz")
+        texts.append("".join(cut))
+    monkeypatch.setattr(lines, "PLENTY", 1, raising=False)
+
+    def noted(pairs, texts):
+        compared.append(pairs.count())
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(lines, "_verified", noted)
+    docs = spark.createDataFrame([(0, "\n".join(texts))], "doc_id bigint, text string")
+    got = lines.dedup_lines(docs).first().text.split("\n")
+    sets = [frozenset(c[k : k + 10] for k in range(max(1, len(c) - 9))) for c in map(clean, texts)]
+    groups = Sets(len(texts))
+    for i in range(len(sets)):
+        for j in range(i):
+            if similar(sets[i], sets[j]):
+                groups.join(i, j)
+    assert got == [x for i, x in enumerate(texts) if groups.find(i) == i]
+    assert max(compared) <= len(texts), compared
