@@ -256,3 +256,11 @@ def test_line_variants_are_compared_once_a_turn(spark, monkeypatch):
                 groups.join(i, j)
     assert got == [x for i, x in enumerate(texts) if groups.find(i) == i]
     assert max(compared) <= len(texts), compared
+
+
+def test_a_line_in_many_buckets_has_one_pair_a_turn(spark):
+    """Each bucket has another leader; comparing a line with all of them cost a pair a bucket."""
+    rows = [(100 * b + i * (b + 1) % 8, i, i) for i in range(60) for b in range(7)]
+    pairs = lines._starred(spark.createDataFrame(rows, "band bigint, cid bigint, root bigint"), 0).collect()
+    buckets = {i: {band for band, cid, _ in rows if cid == i} for i in range(60)}
+    assert 30 <= len(pairs) <= 60 and all(r.a > r.b and buckets[r.a] & buckets[r.b] for r in pairs)
