@@ -264,3 +264,71 @@ def test_a_line_in_many_buckets_has_one_pair_a_turn(spark):
     pairs = lines._starred(spark.createDataFrame(rows, "band bigint, cid bigint, root bigint"), 0).collect()
     buckets = {i: {band for band, cid, _ in rows if cid == i} for i in range(60)}
     assert 30 <= len(pairs) <= 60 and all(r.a > r.b and buckets[r.a] & buckets[r.b] for r in pairs)
+
+
+def test_few_open_pairs_need_one_turn(spark, monkeypatch):
+    """Turns of leaders are for buckets too large to pair; going on for the last links cost a dozen jobs each."""
+    draw, turns, starred = random.Random(12), [], lines._starred
+    base = [draw.choice("abcdefgh ") for _ in range(140)]
+    texts = []
+    for _ in range(60):
+        cut = list(base)
+        for _ in range(draw.randrange(1, 4)):
+            cut[draw.randrange(1, 139)] = draw.choice("xyz")
+        texts.append("".join(cut))
+
+    def noted(placed, turn):
+        turns.append(turn)
+        return starred(placed, turn)
+
+    monkeypatch.setattr(lines, "_starred", noted)
+    docs = spark.createDataFrame([(0, "\n".join(texts))], "doc_id bigint, text string")
+    got = lines.dedup_lines(docs).first().text.split("\n")
+    sets = [frozenset(c[k : k + 10] for k in range(max(1, len(c) - 9))) for c in map(clean, texts)]
+    groups = Sets(len(texts))
+    for i in range(len(sets)):
+        for j in range(i):
+            if similar(sets[i], sets[j]):
+                groups.join(i, j)
+    assert got == [x for i, x in enumerate(texts) if groups.find(i) == i]
+    assert turns == [0]
+
+
+@pytest.mark.parametrize("long", [200000, 10])
+def test_line_pairs_of_any_length_and_character(spark, monkeypatch, long):
+    """Shingles are of UTF-16 units, whether a pair is compared as arrays or, if too long, as rows."""
+    draw = random.Random(6)
+    texts = ["".join(draw.choice(a) for _ in range(n)) for n in (3, 10, 60, 250) for a in ("ab ", "aé日", "a😀b", "😀😁")]
+    texts += [t[:-1] + "x" for t in texts] + [t + t for t in texts]
+    monkeypatch.setattr(lines, "LONG", long)
+    units = [t.encode("utf-16-be") for t in texts]
+    sets = [frozenset(u[2 * k : 2 * k + 20] for k in range(max(1, len(u) // 2 - 9))) for u in units]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i)]
+    found = lines._verified(
+        spark.createDataFrame(pairs, "a bigint, b bigint"), spark.createDataFrame(list(enumerate(texts)), "cid bigint, clean string")
+    )
+    assert {(r.a, r.b) for r in found.collect()} == {(i, j) for i, j in pairs if similar(sets[i], sets[j])}
+
+
+def test_repeated_shingles_make_no_room_for_a_link(spark):
+    """Lines that repeat one passage have few distinct shingles, however long they are; their pairs are ruled out."""
+    draw = random.Random(7)
+    word = lambda n: "".join(draw.choice("abcdefgh") for _ in range(n))
+    passage = word(120)
+    texts = [passage * 12 + word(150) for _ in range(6)]
+    texts += [texts[0] + "xy"]
+    bands = [[i * 7 + b for b in range(6)] + [-1] for i in range(len(texts))]
+    rows = spark.createDataFrame([(i, t, b) for i, (t, b) in enumerate(zip(texts, bands))], "cid bigint, clean string, bands array<bigint>")
+    placed = spark.createDataFrame([(-1, i, i) for i in range(len(texts))], "band bigint, cid bigint, root bigint")
+    left = lines._across(placed, lines._maps(rows), rows).collect()
+    assert [(r.a, r.b) for r in left] == [(6, 0)]
+
+
+def test_components_in_one_partition_or_many(spark, monkeypatch):
+    from wattfold.llm import components as module
+
+    draw = random.Random(5)
+    links = spark.createDataFrame([(draw.randrange(200), draw.randrange(200)) for _ in range(150)], "a bigint, b bigint")
+    one = {(r.node, r.root) for r in components(links).collect()}
+    monkeypatch.setattr(module, "FEW", 0)
+    assert one == {(r.node, r.root) for r in components(links).collect()}
