@@ -219,3 +219,38 @@ def test_raking_few_cells_needs_no_exchange(spark, monkeypatch):
     plans.clear()
     monkeypatch.setattr(mixing, "FEW", 0)
     assert rate() == few and sum(plan.count("Exchange") for plan in plans) > 30
+
+
+def test_given_shares_are_reached(spark):
+    """Targets can be given; they need not be near the shares the documents have."""
+    draw = random.Random(3)
+    rows = [
+        (i, draw.choice(["web"] * 6 + ["news", "code", None]), draw.choice(["en", "en", "de"]), "word " * draw.randrange(1, 40))
+        for i in range(3000)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, lang string, text string")
+    wanted = {"web": 1.0, "news": 2.0, None: 1.0}
+    shares = {
+        "source": spark.createDataFrame([*wanted.items(), ("unseen", 5.0)], "source string, share double"),
+        "lang": spark.createDataFrame([("en", 1.0), ("de", 3.0)], "lang string, share double"),
+    }
+    got = mixing.mix(docs, shares=shares).toPandas()
+    assert len(got) == len(rows) and not got[got.source == "code"].kept.any()
+    expected = got.tokens * got.probability
+    by = lambda column: (expected.groupby(column.fillna("none")).sum() / expected.sum()).to_dict()
+    assert by(got.source) == pytest.approx({"web": 0.25, "news": 0.5, "none": 0.25, "code": 0.0}, abs=1e-5)
+    assert by(got.lang) == pytest.approx({"en": 0.25, "de": 0.75}, abs=1e-5)
+    assert got.probability.max() == pytest.approx(1)
+
+
+def test_given_shares_that_contradict_each_other_are_told(spark):
+    docs = spark.createDataFrame(
+        [(1, "a", "x", "one two"), (2, "b", "y", "one two")], "doc_id bigint, source string, lang string, text string"
+    )
+    share = lambda column, **x: spark.createDataFrame(list(x.items()), f"{column} string, share double")
+    with pytest.warns(UserWarning, match="off by"):
+        mixing.mix(docs, rounds=1, shares={"source": share("source", a=0.9, b=0.1), "lang": share("lang", x=0.1, y=0.9)})
+    with pytest.raises(ValueError, match="source"):
+        mixing.mix(docs, shares={"source": share("source", c=1.0)})
+    with pytest.raises(ValueError, match="author"):
+        mixing.mix(docs, shares={"author": share("author", c=1.0)})
